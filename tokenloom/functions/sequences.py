@@ -37,16 +37,13 @@ def as_text(ids: ColumnOrName) -> Column:
 def word_ngrams(words: ColumnOrName, low: int = 1, high: int = 3) -> Column:
     """All word n-grams of one text, with repeats."""
     w = col(words)
-    grams = [
-        F.transform(
-            F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1))).otherwise(
-                F.array().cast("array<int>")
-            ),
-            lambda i, n=n: F.array_join(F.slice(w, i, n), " "),
-        )
-        for n in range(low, high + 1)
-    ]
-    return F.concat(*grams)
+
+    def grams(n: int) -> Column:
+        begins = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1)))
+        none = F.array().cast("array<int>")
+        return F.transform(F.coalesce(begins, none), lambda i: F.array_join(F.slice(w, i, n), " "))
+
+    return F.concat(*[grams(n) for n in range(low, high + 1)])
 
 
 def window_structs(ids: ColumnOrName, size: int, keep: int | None = None) -> Column:
