@@ -35,15 +35,21 @@ def as_text(ids: ColumnOrName) -> Column:
 
 
 def word_ngrams(words: ColumnOrName, low: int = 1, high: int = 3) -> Column:
-    """All word n-grams of one text, with repeats."""
-    w = col(words)
-
-    def grams(n: int) -> Column:
-        begins = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1)))
-        none = F.array().cast("array<int>")
-        return F.transform(F.coalesce(begins, none), lambda i: F.array_join(F.slice(w, i, n), " "))
+    """All word n-grams of one text, with repeats.
 
-    return F.concat(*[grams(n) for n in range(low, high + 1)])
+    Longer grams zip shorter ones with the words after them, so each array is built once; a
+    slice per position would evaluate ``words`` anew for every gram.
+    """
+    w = col(words)
+    grams, level = [], w
+    for n in range(1, high + 1):
+        if n > 1:
+            count = F.greatest(F.size(w) - (n - 1), F.lit(0))
+            heads = F.slice(level, F.lit(1), count)
+            level = F.zip_with(heads, F.slice(w, F.lit(n), count), lambda a, b: F.concat(a, F.lit(" "), b))
+        if n >= low:
+            grams.append(level)
+    return F.concat(*grams)
 
 
 def window_structs(ids: ColumnOrName, size: int, keep: int | None = None) -> Column:

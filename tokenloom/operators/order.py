@@ -37,9 +37,10 @@ def _sum_level(
         return df.withColumn(out, F.coalesce(F.sum(value).over(everything), F.lit(0)))
     bucket, inside, offset = f"_bucket{level}", f"_inside{level}", f"_offset{level}"
     last, total = f"_last{level}", f"_total{level}"
-    cut = df.withColumn(bucket, F.shiftright(F.col(key), bits * level)).repartition(bucket)
-    # max(key) orders the totals one level up; it also keeps the columns of both branches
-    # alike, so Spark reuses the one exchange.
+    # The coalesce marks the bucket as never null, and max(key) orders the totals one level up;
+    # both keep the two branches below alike, so Spark runs the one exchange once.
+    number = F.coalesce(F.shiftright(F.col(key), bits * level), F.lit(0).cast("bigint"))
+    cut = df.withColumn(bucket, number).repartition(bucket)
     totals = cut.groupBy(bucket).agg(F.max(key).alias(last), F.sum(value).alias(total))
     offsets = _sum_level(totals, last, total, offset, bits, level + 1, levels)
     local = F.sum(value).over(before.partitionBy(bucket).orderBy(key))
