@@ -1,0 +1,60 @@
+"""Every registered query against its SQL on the smallest tables."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as driver
+
+FOLDER = "/root/testdata/sf0.001"
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
+
+QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for table in TABLES.split():
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    return con
+
+
+def rounded(rows):
+    return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in row) for row in rows), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, duck, name):
+    df = QUERIES[name](spark, FOLDER)
+    want = duck.sql(ORACLES[name])
+    columns = sorted(df.columns)
+    assert columns == sorted(want.columns)
+    got = [tuple(r) for r in df.select(*columns).collect()]
+    assert rounded(got) == rounded(want.select(*[f'"{c}"' for c in columns]).fetchall())
+
+
+def test_every_sql_has_a_query():
+    assert set(ORACLES) <= set(QUERIES)
+
+
+def test_svm_beats_the_majority_class(spark):
+    rows = QUERIES["svm_predict"](spark, FOLDER).collect()
+    classes = [r.classe for r in rows]
+    majority = max(classes.count(c) for c in set(classes)) / len(rows)
+    assert sum(r.classe == r.predicted for r in rows) / len(rows) > majority
+
+
+def test_every_word_is_tagged(spark, duck):
+    rows = QUERIES["tag_words"](spark, FOLDER).collect()
+    want = duck.sql(ORACLES["pos_tag_lookup"]).fetchall()
+    assert sorted((r.doc_id, r.word, r.pos_tag) for r in rows) == sorted(want)
+    assert all(r.category for r in rows)
+
+
+def test_entry(spark):
+    df = driver.entry(spark)
+    assert df.columns == ["token", "n"] and df.count() == 20
