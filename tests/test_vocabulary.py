@@ -67,6 +67,13 @@ def test_encode_drops_unknown_and_roundtrip(spark):
     assert text == {0: "a c", 1: "c"}
 
 
+def test_unknown_tokens_keep_every_occurrence(spark):
+    vocab = vocabulary.build(docs(spark, ["a b"]))
+    for hot in (0, 1, 9):
+        rows = vocabulary.unknown(vocabulary.tokenize(docs(spark, ["a x b x", "c"])), vocab, hot)
+        assert sorted((r.doc_id, r.pos, r.token) for r in rows.collect()) == [(0, 1, "x"), (0, 3, "x"), (1, 0, "c")]
+
+
 def test_next_id_of_empty_and_full(spark):
     empty = spark.createDataFrame([], "token string, id bigint, n bigint")
     assert vocabulary.next_id(empty).first()[0] == 0

@@ -108,6 +108,13 @@ def encode_known(tokens: DataFrame, vocab: DataFrame, hot_rows: int = HOT_TOKENS
     return frequent.unionByName(rare)
 
 
+def unknown(tokens: DataFrame, vocab: DataFrame, hot_rows: int = HOT_TOKENS) -> DataFrame:
+    """Token rows outside the vocabulary. Frequent known tokens leave before the shuffle."""
+    hot = hot_entries(vocab, hot_rows).select("token")
+    rest = tokens.join(F.broadcast(hot), "token", "left_anti")
+    return rest.join(vocab.select("token"), "token", "left_anti")
+
+
 def duplicates(entries: DataFrame) -> DataFrame:
     """Tokens or ids that occur more than once: ``(kind, value, n)``."""
     def repeated(name: str) -> DataFrame:

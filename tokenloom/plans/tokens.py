@@ -88,7 +88,7 @@ WHERE token NOT IN (SELECT token FROM base)""",
 def new_tokens(spark: SparkSession, d: str) -> DataFrame:
     """Every occurrence of a token outside the vocabulary."""
     tokens = vocabulary.tokenize(I.documents(spark, d))
-    return tokens.join(_base(spark, d), "token", "left_anti").select("doc_id", "pos", "token")
+    return vocabulary.unknown(tokens, _base(spark, d)).select("doc_id", "pos", "token")
 
 
 @query("next_id", f"WITH {I.DOC_VOCAB} SELECT max(id) + 1 AS next_id FROM voc")
