@@ -87,3 +87,15 @@ def test_unseen_pairs_and_contexts_have_a_loss(spark):
     new = spark.createDataFrame([([1], 5), ([9], 2)], "context array<bigint>, target bigint")
     got = {r.target: r.loss for r in nexttoken.example_losses(new, counts).collect()}
     assert abs(got[5] - math.log(2)) < 1e-12 and got[2] == 0.0
+
+
+def test_hot_join_loses_and_repeats_nothing(spark):
+    """One key holds most rows; the broadcast part may be empty, partial or everything."""
+    from tokenloom.operators.skew import hot_join
+
+    rows = spark.createDataFrame([(i, 0 if i % 3 else i % 50) for i in range(600)], "i bigint, k bigint")
+    table = rows.groupBy("k").count().filter("k <> 9").selectExpr("k", "k * 10 AS v", "count AS uses")
+    want = sorted((r.i, r.k, r.k * 10) for r in rows.collect() if r.k != 9)
+    for limit in (0, 1, 5, 1000):
+        got = hot_join(rows, table, ["k"], "uses", limit).select("i", "k", "v").collect()
+        assert sorted(map(tuple, got)) == want
