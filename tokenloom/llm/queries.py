@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import jaccard, mixing, packing, quality, secrets, toxicity
+from tokenloom.llm import chunks, jaccard, mixing, packing, quality, secrets, suffixes, topk, toxicity
 from tokenloom.llm.common import crc32_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query("op1_top_k", topk.SQL)
+def nearest(spark: SparkSession, d: str) -> DataFrame:
+    return topk.top_k(table(spark, d, "embeddings"))
+
+
 @query("op2_quality_rules")
 def quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality.judge(table(spark, d, "documents"), table(spark, d, "labels"))
@@ -47,6 +52,11 @@ def packed(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack_documents(table(spark, d, "documents"), tokenizer_path(), with_ids=False)
 
 
+@query("op5_chunk_dedup")
+def chunk_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.digest(chunks.dedup(table(spark, d, "documents")))
+
+
 @query("op7_toxicity")
 def toxic(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
@@ -63,3 +73,8 @@ def jaccard_join(spark: SparkSession, d: str) -> DataFrame:
 @query("op9_mixing", mixing.SQL)
 def mixed(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents")).drop("source")
+
+
+@query("op10_suffix_dedup")
+def suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return chunks.digest(suffixes.dedup(table(spark, d, "documents")))
