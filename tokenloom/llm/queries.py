@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import chunks, jaccard, mixing, packing, quality, secrets, suffixes, topk, toxicity
+from tokenloom.llm import chunks, jaccard, langid, mixing, packing, quality, secrets, suffixes, topk, toxicity
 from tokenloom.llm.common import crc32_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,14 @@ def chunk_dedup(spark: SparkSession, d: str) -> DataFrame:
     return chunks.digest(chunks.dedup(table(spark, d, "documents")))
 
 
+@query("op6_language_id")
+def language(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    found = langid.identify(docs, langid.fit(docs))
+    held = (crc32_bucket("doc_id", langid.FOLDS) == langid.HELD_OUT).alias("held_out")
+    return found.select("doc_id", held, "lang_pred", "score")
+
+
 @query("op7_toxicity")
 def toxic(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
