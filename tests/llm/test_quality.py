@@ -1,0 +1,81 @@
+"""Counts against plain Python, binomial sums against exact fractions."""
+
+import re
+from fractions import Fraction
+from math import comb
+
+import pytest
+from pyspark.sql import functions as F
+
+from tokenloom.llm import quality
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def counted(text):
+    text = text or ""
+    words = WORDS.findall(text)
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    inside = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(8)}
+    seen, again = set(), 0
+    for line in text.split("\n"):
+        if WORDS.search(line):
+            again += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), again, len(inside)
+
+
+TEXTS = [
+    None,
+    "",
+    " \x0b\n",
+    "a b c d e f g h " * 3,
+    "a b c d e f g h i\na b c d e f g h i\n\nx #*$%&|<> y\nx #*$%&|<> y",
+    "one two three four five six seven eight nine ten one two three four five six seven eight",
+    "w " * 40,
+    "a b c d e f g",
+    "é ü  x",
+]
+
+
+def test_counts(spark):
+    rows = [(i, t, "en") for i, t in enumerate(TEXTS)]
+    got = quality.measures(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    for r in got:
+        want = counted(TEXTS[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+
+
+@pytest.mark.parametrize("n,k", [(1, 0), (10, 0), (150, 1), (400, 3), (5000, 60), (5000, 99)])
+def test_binomial_sums(spark, n, k):
+    p = Fraction(1, 50)
+    want = float(sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1)))
+    column = quality.binomial_cdf(F.lit(float(k)), F.lit(float(n)), 0.02)
+    assert spark.range(1).select(column.alias("p")).first().p == pytest.approx(want, rel=1e-7)
+
+
+def test_cutoffs_are_proven_and_obeyed(spark):
+    """Of 3000 good texts none has symbols, so the lowest cutoff holds; texts above it go."""
+    clean = " ".join(f"word{i}" for i in range(30))
+    docs = [(i, f"{clean} x{i}", "en") for i in range(3000)] + [(9000, f"{clean} ## ## ## ##", "en"), (9001, f"{clean} ## ##", "fr")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(3000)], "doc_id long, quality int")
+    measured = quality.measures(frame)
+    chosen = {r.rule: r for r in quality.chosen_cutoffs(measured, labels).collect()}
+    assert set(chosen) == set(quality.RULES) and all(r.cutoff == 5 and r.rejected == 0 for r in chosen.values())
+    kept = {r.doc_id: r.kept for r in quality.judge(frame, labels).collect()}
+    assert not kept[9000] and kept[9001] and all(kept[i] for i in range(3000))
+
+
+def test_few_labels_prove_nothing(spark):
+    frame = spark.createDataFrame([(1, "a # " * 30, "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert quality.chosen_cutoffs(quality.measures(frame), labels).count() == 0
+
+
+def test_odd_rows(odd, nothing, some_labels, no_labels):
+    assert quality.judge(odd, some_labels).count() == odd.count()
+    assert quality.judge(odd, no_labels).count() == odd.count()
+    assert quality.judge(nothing, some_labels).count() == 0
+    empty = [r for r in quality.judge(odd, no_labels).collect() if r.n_words == 0]
+    assert len(empty) == 4 and all(r.base_failed and not r.kept for r in empty)

@@ -1,0 +1,51 @@
+"""Restoring disguised words, held-out accuracy and edges."""
+
+import zlib
+
+import pytest
+from conftest import FOLDER
+
+from tokenloom.llm import toxicity
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    docs = spark.read.parquet(f"{FOLDER.replace('0.001', '0.01')}/documents.parquet")
+    labels = spark.read.parquet(f"{FOLDER.replace('0.001', '0.01')}/labels.parquet")
+    return toxicity.fit(docs, labels)
+
+
+@pytest.mark.parametrize("seen", ["1d10t", "i.d.i.o.t", "i d i o t", "iiidiot", "!di0t", "id-iot"])
+def test_restores_disguises(model, seen):
+    letters = toxicity.LetterModel(model.trigrams)
+    assert toxicity.restore(seen, letters) == "idiot"
+
+
+@pytest.mark.parametrize("seen", ["idiot", "1d10t", "i d i o t", "M0R0N", "st*u*p*i*d", "(loser)", "traaash"])
+def test_disguised_words_score_like_plain_ones(model, seen):
+    text = f"the erha thntin {seen} hest a the inti and {seen.upper()} of it"
+    calm = "the erha thntin hest a the inti and of it"
+    scorer = model.scorer()
+    assert scorer.raw(text) > scorer.raw(calm) + 1
+
+
+def test_held_out_accuracy(spark, model):
+    folder = FOLDER.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    rows = [r for r in toxicity.score(docs, model).collect() if r.doc_id in truth and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    right = sum(r.predicted == truth[r.doc_id] for r in rows) / len(rows)
+    assert right > 0.9 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+
+
+def test_accepted_keeps_clean_rows(spark, model):
+    frame = spark.createDataFrame([(1, "the heat of it"), (2, "you idiot, moron, stupid clown, trash"), (3, None)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in toxicity.accepted(frame, model).collect()) == [1, 3]
+
+
+def test_odd_rows(odd, nothing, some_labels, no_labels):
+    for labels in (some_labels, no_labels):
+        fitted = toxicity.fit(odd, labels)
+        assert toxicity.score(odd, fitted).count() == odd.count()
+        assert toxicity.accepted(odd, fitted).columns == odd.columns
+    assert toxicity.score(nothing, toxicity.fit(nothing, no_labels)).count() == 0

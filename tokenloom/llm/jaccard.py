@@ -367,8 +367,8 @@ def one_per_class(docs: DataFrame) -> DataFrame:
 
     Of exactly repeated rows one stays; rows without words all stay.
     """
-    kept = join(docs).filter("representative").select("_row").distinct()
-    keyed = docs.withColumn("_row", row_key("doc_id", "text")).join(kept, "_row", "left_semi")
+    kept = join(docs).filter("representative").select(F.col("_row").alias("__row")).distinct()
+    keyed = docs.withColumn("__row", row_key("doc_id", "text")).join(kept, "__row", "left_semi")
     worded = F.coalesce(F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
-    twice = keyed.filter(worded).dropDuplicates(["_row"])
+    twice = keyed.filter(worded).dropDuplicates(["__row"])
     return twice.unionByName(keyed.filter(~worded)).select(*docs.columns)

@@ -135,23 +135,23 @@ def mixed_documents(docs: DataFrame, seed: int = 42) -> DataFrame:
     without words are in no mix.
     """
     taken = mix(docs, seed).groupBy("doc_id", "source", "size").agg(F.sum("taken").alias("taken"), F.count("*").alias("same"))
-    named = docs.withColumn("_size", word_count("text"))
+    named = docs.withColumn("__mix_size", word_count("text"))
     # Rows with the same id, source and size split what they got evenly, the first rows more.
     joined = named.alias("d").join(
         taken.filter("taken > 0").alias("t"),
-        F.expr("d.doc_id <=> t.doc_id AND d.source <=> t.source AND d._size = t.size"),
+        F.expr("d.doc_id <=> t.doc_id AND d.source <=> t.source AND d.__mix_size = t.size"),
     )
     share = F.floor(F.col("t.taken") / F.col("t.same")).cast("bigint")
-    whole, part = F.floor(share / F.col("d._size")).cast("int"), (share % F.col("d._size")).cast("int")
+    whole, part = F.floor(share / F.col("d.__mix_size")).cast("int"), (share % F.col("d.__mix_size")).cast("int")
     copies = F.concat(
         F.array_repeat(F.lit(0), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>"))
     )
-    rows = joined.select("d.*", F.explode(copies).alias("_part"))
-    text = F.when(F.col("_part") > 0, first_words(F.col("text"), F.col("_part"))).otherwise(F.col("text"))
+    rows = joined.select("d.*", F.explode(copies).alias("__mix_part"))
+    text = F.when(F.col("__mix_part") > 0, first_words(F.col("text"), F.col("__mix_part"))).otherwise(F.col("text"))
     rows = rows.withColumn("text", text)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        counted = F.when(F.col("_part") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+        counted = F.when(F.col("__mix_part") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
         rows = rows.withColumn("n_chars", counted)
     return rows.select(*docs.columns)
 
