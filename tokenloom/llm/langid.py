@@ -17,7 +17,7 @@ SAMPLE = 600  # labelled documents of each language, about, that the network is
 WINDOWS = 6  # windows taken from each of them, at most
 WIDTH = 96  # bytes of a window: the network reads it both ways, from a blank state
 HIDDEN = 12  # units of each direction
-EPOCHS, BATCH, RATE = 4, 128, 0.01
+STEPS, BATCH, RATE = 360, 128, 0.01  # updates, windows of each, first learning rate
 UNKNOWN = "und"  # Fixed value: texts without a letter.
 _SCORE_BATCH = 4096
 
@@ -114,24 +114,24 @@ def gradients(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, p: d
 
 
 def train(windows: np.ndarray, lengths: np.ndarray, labels: np.ndarray, net: Network, seed: int = 2) -> Network:
-    """Adam over shuffled batches, the rate falling to a tenth; gradients are cut at norm 1."""
+    """Adam over ``STEPS`` shuffled batches, the rate falling to a tenth; gradients are cut at norm 1."""
     rng, p = np.random.default_rng(seed), net.params
     first = {k: np.zeros_like(v) for k, v in p.items()}
     second = {k: np.zeros_like(v) for k, v in p.items()}
-    step, total = 0, EPOCHS * -(-len(windows) // BATCH)
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(windows))
-        for begin in range(0, len(order), BATCH):
-            rows = order[begin : begin + BATCH]
-            _, grads = gradients(windows[rows], lengths[rows], labels[rows], p)
-            norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
-            step += 1
-            rate = RATE * (1 - 0.9 * step / total)
-            for k, g in grads.items():
-                g = g * min(1.0, 1 / (norm + 1e-12))
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                p[k] = (p[k] - rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
+    order = np.zeros(0, dtype=np.int64)
+    for step in range(1, STEPS + 1):
+        while len(order) < BATCH:
+            order = np.concatenate((order, rng.permutation(len(windows))))
+        rows, order = order[:BATCH], order[BATCH:]
+        _, grads = gradients(windows[rows], lengths[rows], labels[rows], p)
+        norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
+        rate = RATE * (1 - 0.9 * step / STEPS)
+        for k, g in grads.items():
+            g = g * min(1.0, 1 / (norm + 1e-12))
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.999 * second[k] + 0.001 * g * g
+            update = (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+            p[k] = (p[k] - rate * update).astype(np.float32)
     return net
 
 
@@ -168,6 +168,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Network:
 
     rows = sorted((r["lang"], bytes(r["part"])) for r in chosen.mapInArrow(cut, "lang string, part binary").collect())
     rows = [r for r in rows if r[1]]
+    if not rows:
+        return Network([], {})
     lengths = np.array([len(p) for _, p in rows])
     windows = np.zeros((len(rows), WIDTH), dtype=np.uint8)
     for i, (_, part) in enumerate(rows):
