@@ -1,7 +1,7 @@
 import pytest
 
 from tokenloom.operators import dialogs, runs
-from tokenloom.session import scratch_path
+from tokenloom.session import scratch_path, shared_dir
 from tokenloom.sources import readers, sinks
 
 
@@ -27,6 +27,37 @@ def test_lines_are_numbered_over_files_and_splits(spark, folder):
     assert [(r.line_id, r.value) for r in rows] == list(enumerate(want))
 
 
+def test_files_come_in_the_order_of_their_numbers(spark, folder):
+    for n in (100000, 99999, 2):
+        path = folder(f"part-{n}.txt", f"n{n}\n")
+    rows = readers.read_lines(spark, path).orderBy("line_id").collect()
+    assert [r.value for r in rows] == ["n2", "n99999", "n100000"]
+
+
+def test_missing_metadata_keys_are_reported(spark):
+    saved = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v bigint")
+    current = spark.createDataFrame([("a", 1), ("b", 3), ("c", 4)], "k string, v bigint")
+    row = runs.check_metadata(saved, current).first()
+    assert (row.n, row.report) == (2, "b: ckpt=2 vs actuel=3 | c: ckpt=None vs actuel=4")
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Session:
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(Conf)
+            getCheckpointDir = staticmethod(lambda: None)
+
+        conf = Conf()
+
+    with pytest.raises(ValueError):
+        shared_dir(Session)
+
+
 def test_tokens_and_ids(spark, folder):
     path = folder("ids.txt", "1234 56\n\n -3\t12")
     assert [r.token for r in readers.read_tokens(spark, path).orderBy("doc_id", "pos").collect()] == ["1234", "56", "-3", "12"]
@@ -50,7 +81,14 @@ def test_vocab_json_of_other_writers(spark, folder):
     assert sorted(map(tuple, readers.read_vocab_json(spark, path).collect())) == [("a", 1), ("b", 2)]
 
 
-@pytest.mark.parametrize("text", ['{\n"a" 1\n}', "{\nnonsense\n}", "[\n1,\n2\n]"])
+def test_vocab_json_on_one_line(spark, folder):
+    path = folder("v.json", '{"a": 1, "}": 2}')
+    assert sorted(map(tuple, readers.read_vocab_json(spark, path).collect())) == [("a", 1), ("}", 2)]
+
+
+@pytest.mark.parametrize(
+    "text", ['{\n"a" 1\n}', "{\nnonsense\n}", "[\n1,\n2\n]", '{\n"a": 1,\n"b": 2,\n', '"a": 1\n}', '{\n"a": 1\n}\n{\n"b": 2\n}']
+)
 def test_bad_vocab_json_fails(spark, folder, text):
     path = folder("v.json", text)
     with pytest.raises(Exception):

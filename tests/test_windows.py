@@ -5,36 +5,22 @@ from tokenloom.functions.sequences import pad_left, trailing_context, window_str
 from tokenloom.operators import windows
 
 
-def loop(ids, context, chunk):
-    """The buffer loop: (chunk, target position, context, target) and tokens per chunk."""
-    out, buffer, number, begin = [], [], 0, 0
-    stats = []
-    for at, token in enumerate(ids):
-        buffer.append(token)
-        if len(buffer) >= chunk:
-            number += 1
-            out += [(number, begin + i, buffer[i - context : i], buffer[i]) for i in range(context, len(buffer))]
-            stats.append((number, len(buffer) - context, at + 1))
-            begin += len(buffer) - context
-            buffer = buffer[-context:]
-    if len(buffer) > context:
-        number += 1
-        out += [(number, begin + i, buffer[i - context : i], buffer[i]) for i in range(context, len(buffer))]
-        stats.append((number, len(buffer) - context, len(ids)))
-    return out, stats
-
-
 @pytest.mark.parametrize("n, context, chunk", [(46, 3, 10), (45, 3, 10), (3, 3, 10), (10, 3, 10), (200, 8, 9), (60, 2, 50)])
-def test_chunks_equal_the_loop(spark, n, context, chunk):
+def test_chunks_cover_the_stream(spark, n, context, chunk):
     ids = [i * 7 % 31 for i in range(n)]
     df = spark.createDataFrame(list(enumerate(ids)), "gpos bigint, id bigint")
-    made = windows.examples(windows.chunks(df, context, chunk), context)
-    got = sorted((r.chunk_id, r.target_pos, r.context, r.target) for r in made.collect())
-    want, stats = loop(ids, context, chunk)
-    assert got == want
-    assert sorted(p for _, p, _, _ in got) == list(range(context, n))
+    made = windows.examples(windows.chunks(df, context, chunk), context).collect()
+    # Every position with a full context is a target once, and its context is what stands before it.
+    assert sorted(r.target_pos for r in made) == list(range(context, n))
+    assert all(r.context == ids[r.target_pos - context : r.target_pos] and r.target == ids[r.target_pos] for r in made)
+    # A chunk adds chunk - context new targets, so the chunk of a target follows from its position.
+    assert all(r.chunk_id == (r.target_pos - context) // (chunk - context) + 1 for r in made)
     table = windows.chunk_stats(df, context, chunk, 4).orderBy("chunk_id").collect()
-    assert [(r.chunk_id, r.examples, r.seen_tokens) for r in table] == stats
+    sizes = {}
+    for r in made:
+        sizes[r.chunk_id] = sizes.get(r.chunk_id, 0) + 1
+    assert {r.chunk_id: r.examples for r in table} == sizes
+    assert all(r.seen_tokens == context + sum(v for k, v in sizes.items() if k <= r.chunk_id) for r in table)
     assert all(r.batches == -(-r.examples // 4) for r in table)
 
 

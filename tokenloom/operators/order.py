@@ -59,10 +59,14 @@ def dense_index(df: DataFrame, key: str, out: str = "index", bits: int = BITS) -
 
 
 def byte_budget(df: DataFrame, key: str, size: str, limit: int, bits: int = BITS) -> DataFrame:
-    """Rows in key order until their sizes reach ``limit``; the row that crosses it stays."""
+    """Rows in key order until their sizes reach ``limit``; the row that crosses it stays.
+
+    The kept rows are those up to one key, so one value, found from ``(key, size)``, is the
+    filter of the scan, and no text is shuffled.
+    """
     keys = exclusive_sum(df.select(key, size), key, size, "_before", bits)
-    kept = keys.filter(F.col("_before") < limit).select(key)
-    return df.join(kept, key, "left_semi")
+    last = keys.filter(F.col("_before") < limit).agg(F.max(key).alias("last"))
+    return df.filter(F.col(key) <= last.scalar())
 
 
 def token_starts(docs: DataFrame, key: str, tokens: str, bits: int = BITS) -> DataFrame:

@@ -29,10 +29,13 @@ def key_values(meta: DataFrame, fields: tuple[str, ...]) -> DataFrame:
 
 
 def check_metadata(saved: DataFrame, current: DataFrame) -> DataFrame:
-    """One row ``(n, report)``: every key whose saved value differs, in key order."""
-    both = saved.withColumnRenamed("v", "a").join(current.withColumnRenamed("v", "b"), "k")
+    """One row ``(n, report)``: every current key whose saved value differs or is missing, in key order."""
+    both = current.withColumnRenamed("v", "b").join(saved.withColumnRenamed("v", "a"), "k", "left")
     differ = both.filter(~F.col("a").eqNullSafe(F.col("b"))).withColumn(
-        "line", F.format_string("%s: ckpt=%s vs actuel=%s", "k", "a", "b")
+        "line", F.concat(
+            "k", F.lit(": ckpt="), F.coalesce(F.col("a").cast("string"), F.lit("None")),
+            F.lit(" vs actuel="), F.coalesce(F.col("b").cast("string"), F.lit("None")),
+        )
     )
     lines = F.transform(F.array_sort(F.collect_list(F.struct("k", "line"))), lambda s: s["line"])
     return differ.agg(F.count("*").alias("n"), F.array_join(lines, " | ").alias("report"))

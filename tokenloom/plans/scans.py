@@ -236,15 +236,18 @@ c AS (
 kv AS (
   SELECT 'vocab_size' AS k, s.vocab_size AS a, c.vocab_size AS b FROM s, c
   UNION ALL SELECT 'seen_tokens', s.seen_tokens, c.seen_tokens FROM s, c
-  UNION ALL SELECT 'context_size', {I.CONTEXT}, {I.CONTEXT})
-SELECT count(*) AS n, coalesce(string_agg(k || ': ckpt=' || a || ' vs actuel=' || b, ' | ' ORDER BY k), '') AS report
+  UNION ALL SELECT 'context_size', {I.CONTEXT}, {I.CONTEXT}
+  UNION ALL SELECT 'emb_dim', NULL, {I.EMB_DIM})
+SELECT count(*) AS n, coalesce(string_agg(k || ': ckpt=' || coalesce(a::VARCHAR, 'None') || ' vs actuel=' || b, ' | ' ORDER BY k), '') AS report
 FROM kv WHERE a IS DISTINCT FROM b""",
 )
 def check_metadata(spark: SparkSession, d: str) -> DataFrame:
-    def sizes(docs: DataFrame) -> DataFrame:
+    """The saved table lacks one key, which counts as a difference."""
+
+    def sizes(docs: DataFrame, *more: str) -> DataFrame:
         seen = vocabulary.first_seen(vocabulary.tokenize(docs))
         meta = seen.agg(F.count("*").alias("vocab_size"), F.sum("n").alias("seen_tokens"))
-        meta = meta.withColumn("context_size", F.lit(I.CONTEXT))
-        return runs.key_values(meta, ("vocab_size", "seen_tokens", "context_size"))
+        meta = meta.withColumn("context_size", F.lit(I.CONTEXT)).withColumn("emb_dim", F.lit(I.EMB_DIM))
+        return runs.key_values(meta, ("vocab_size", "seen_tokens", "context_size", *more))
 
-    return runs.check_metadata(sizes(I.prompts(spark, d)), sizes(I.documents(spark, d)))
+    return runs.check_metadata(sizes(I.prompts(spark, d)), sizes(I.documents(spark, d), "emb_dim"))

@@ -8,6 +8,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Into how many parts tables of few files are dealt after reading. Set for the small files of tests
+# and of the benchmark only; unset, as on a cluster, tables stay as they are stored.
+SPREAD = "spark.tokenloom.spread"
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
     spark = (
@@ -20,6 +25,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(SPREAD, str(partitions))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -29,8 +35,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a session without that setting
-    (a local test) gets a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that setting
+    (a test) gets a temporary folder; on a cluster each executor would write to its own disk.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -40,6 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if current is None:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tokenloom-")
         sc.setCheckpointDir(current)
     return current

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import compress_id, split_ws
+from tokenloom.session import SPREAD
 
 LABELLED = "texte string, classe string, pos_tag string"
 
@@ -17,13 +18,9 @@ def read_table(spark: SparkSession, folder: str, name: str, *columns: str | Colu
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a small table over all cores by ``key``.
-
-    A file of one row group is read by one task. A table with splits for every core, as any
-    large one has, stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    """Deal a table out by ``key``, only if the session asks for it (see ``session.SPREAD``)."""
+    parts = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(parts), key) if parts else df
 
 
 def read_stream(
@@ -60,8 +57,10 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(line_id, value)`` with lines numbered 0, 1, 2, ... over files in name order.
 
-    Lines are numbered inside each input split (a split has a fixed size); the splits are
-    few rows, and their line counts give the offsets.
+    Names sort by the numbers in them, so ``part-100000`` follows ``part-99999``. A split gives
+    its lines rising row numbers without gaps, so a line's place in its split is its row number less
+    the split's first. Only one row per split is shuffled and summed; lines meet those offsets in a join
+    on the split, never in a sort.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("_file"),
@@ -69,15 +68,17 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_row"),
         "value",
     )
-    splits = lines.groupBy("_file", "_block").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("_file", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_row"))
-    return (
-        lines.withColumn("_at", inside)
-        .join(offsets, ["_file", "_block"])
-        .select((F.col("_offset") + F.col("_at") - 1).alias("line_id"), "value")
+    splits = lines.groupBy("_file", "_block").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    # Runs of digits get a fixed width, so that text order is number order.
+    padded = F.transform(
+        F.regexp_extract_all("_file", F.lit(r"\d+|\D+"), F.lit(0)),
+        lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, 40, "0")).otherwise(x),
     )
+    before = Window.partitionBy(F.lit(0)).orderBy(F.array_join(padded, ""), "_block")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    offsets = splits.select("_file", "_block", offset.alias("_offset"))
+    return lines.join(offsets, ["_file", "_block"]).select((F.col("_offset") + F.col("_row")).alias("line_id"), "value")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -98,11 +99,23 @@ def read_vocab_json(spark: SparkSession, path: str) -> DataFrame:
     """``(token, id)`` of a JSON object that is written with one entry per line.
 
     Such a file can be split, which one JSON value cannot. The job fails on any line that is no
-    entry; repeated keys all come through.
+    entry, and on a file without exactly one opening and one closing brace, as one cut short is.
+    An object on a single line is read too. Repeated keys all come through.
     """
     text = F.trim(F.col("value"))
-    lines = spark.read.text(path).select(F.regexp_replace(text, "^,|,$", "").alias("entry"))
-    entries = lines.filter(~F.col("entry").isin("{", "}", ""))
+    lines = spark.read.text(path).select(text.alias("line"))
+    one_line = F.col("line").startswith("{") & F.col("line").endswith("}") & (F.length("line") > 1)
+    opened, closed = F.col("line").startswith("{"), F.col("line").endswith("}")
+    whole = lines.agg(F.count_if(opened).alias("o"), F.count_if(closed).alias("c")).select(
+        ((F.col("o") == 1) & (F.col("c") == 1)).alias("whole")
+    )
+    entry = F.when(one_line, F.expr("substring(line, 2, length(line) - 2)")).otherwise(
+        F.regexp_replace("line", "^,|,$", "")
+    )
+    entries = lines.select(entry.alias("entry"), whole.scalar().alias("whole"))
+    cut = F.raise_error(F.lit("not a whole vocabulary: one { and one } are needed"))
+    entries = entries.withColumn("entry", F.when(F.col("whole"), F.col("entry")).otherwise(cut.cast("string")))
+    entries = entries.filter(~F.trim("entry").isin("{", "}", ""))
     parsed = F.from_json(
         F.concat(F.lit("{"), "entry", F.lit("}")), "map<string,bigint>", {"mode": "FAILFAST"}
     )
