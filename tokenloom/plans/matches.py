@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import sentence, split_phrase
@@ -12,7 +12,7 @@ from tokenloom.plans.registry import query
 from tokenloom.session import materialize
 from tokenloom.sources.readers import read_table, spread
 
-TRIES = 20
+TRIES = 20  # drawn sentences per text
 NEEDED_HITS = 3
 
 
@@ -76,7 +76,7 @@ SQL_TERM_WORDS = "regexp_extract_all(lower({0}), '[a-z0-9_à-öø-ÿ]{{2,}}')"
 
 @query(
     "tfidf",
-    f"""WITH t AS (SELECT d.doc_id, {SQL_TERM_WORDS.format('d.text')} AS w FROM documents d JOIN labels USING (doc_id)),
+    f"""WITH t AS (SELECT d.doc_id, {SQL_TERM_WORDS.format('d.text')} AS w FROM documents d),
 g AS (
   SELECT doc_id, unnest(list_transform(range(1, (len(w) - n + 2)::BIGINT), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS term
   FROM t, (VALUES (1), (2), (3)) v(n)),
@@ -87,8 +87,7 @@ raw AS (
 SELECT doc_id, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""",
 )
 def tfidf(spark: SparkSession, d: str) -> DataFrame:
-    texts = materialize(labelled_texts(spark, d).select("doc_id", "text"))
-    return weights.tfidf(texts, "doc_id").withColumn("weight", F.round("weight", 6))
+    return weights.tfidf(I.documents(spark, d), "doc_id").withColumn("weight", F.round("weight", 6))
 
 
 def labelled_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -285,17 +284,78 @@ def article_hit(spark: SparkSession, d: str) -> DataFrame:
     return hits(spark, d).filter("has_article").select("try", "phrase")
 
 
+SLOTS = list(SLOT_CLASSES)
+
+
+def _sql_share(name: str, total: str) -> str:
+    return f"(('0x' || substr(md5(doc_id || ':{name}:{I.SEED}'), 1, 8))::BIGINT::HUGEINT * {total}) // 4294967296"
+
+
+def _sql_accepted(name: str, least: int, flags: dict[str, tuple[str, str]]) -> str:
+    """CTE ``name(doc_id, phrase)``; ``flags`` says per slot which kinds of words are accepted."""
+    good = [f"(CASE WHEN {flags[s][0]} THEN n_{s}_0 ELSE 0 END + CASE WHEN {flags[s][1]} THEN n_{s}_1 ELSE 0 END)::HUGEINT AS {s}_good" for s in SLOTS]
+    patterns = [p for p in range(1 << len(SLOTS)) if p.bit_count() >= least]
+    ways = [" * ".join(f"{s}_good" if p >> i & 1 else f"{s}_bad" for i, s in enumerate(SLOTS)) for p in patterns]
+    picks, joins = [], []
+    for i, s in enumerate(SLOTS):
+        hit = f"((pattern >> {i}) & 1 = 1)"
+        picks.append(f"{_sql_share(f'{name}-{s}', f'CASE WHEN {hit} THEN {s}_good ELSE {s}_bad END')} AS {s}_place")
+        picks.append(f"CASE WHEN {flags[s][0]} = {hit} THEN n_{s}_0 ELSE 0 END AS {s}_first")
+        joins.append(f"""JOIN lists l_{s} ON l_{s}.slot = '{s}' AND l_{s}.kind = ({s}_place >= {s}_first)::INT
+    AND l_{s}.num = CASE WHEN {s}_place >= {s}_first THEN {s}_place - {s}_first ELSE {s}_place END""")
+    return f"""{name}_good AS (SELECT *, {', '.join(good)} FROM docs_flags, list_sizes),
+{name}_bad AS (SELECT *, {', '.join(f'n_{s}_0 + n_{s}_1 - {s}_good AS {s}_bad' for s in SLOTS)} FROM {name}_good),
+{name}_ways AS (SELECT *, [{', '.join(ways)}] AS ways FROM {name}_bad),
+{name}_at AS (
+  SELECT *, {_sql_share(name, 'list_sum(ways)::HUGEINT')} AS spot FROM {name}_ways WHERE list_sum(ways) > 0),
+{name}_pattern AS (
+  SELECT *, [{', '.join(map(str, patterns))}][1 + len(list_filter(range(1, {len(patterns)}),
+    lambda i: list_sum(ways[1:i])::HUGEINT <= spot))] AS pattern FROM {name}_at),
+{name}_picks AS (SELECT *, {', '.join(picks)} FROM {name}_pattern),
+{name} AS (
+  SELECT doc_id, {" || ' ' || ".join(f'l_{s}.word' for s in SLOTS)} AS phrase FROM {name}_picks {' '.join(joins)})"""
+
+
+SQL_LISTS = f"""slot_words AS ({' UNION ALL '.join(f"SELECT '{s}' AS slot, row_id, texte AS word FROM lex WHERE classe = '{c}'" for s, c in SLOT_CLASSES.items())}),
+lists AS (
+  SELECT slot, (category = 'article')::INT AS kind, word,
+         row_number() OVER (PARTITION BY slot, category = 'article' ORDER BY row_id) - 1 AS num
+  FROM slot_words JOIN tags USING (word)),
+list_sizes AS (SELECT {', '.join(f"count(*) FILTER (slot = '{s}' AND kind = {k}) AS n_{s}_{k}" for s in SLOTS for k in (0, 1))} FROM lists),
+docs_flags AS (
+  SELECT doc_id, {', '.join(f"coalesce(bool_or(category = '{c}'), false) AS has_{c}" for c in [*SLOT_CLASSES.values(), 'article'])}
+  FROM (SELECT item_id AS doc_id FROM benchmark) LEFT JOIN starts USING (doc_id) GROUP BY doc_id)"""
+
+
 @query(
     "accept_sentences",
-    f"""WITH {SQL_HITS}
-SELECT doc_id, min(try) FILTER (hits >= {NEEDED_HITS}) AS by_hits, arg_min(phrase, try) FILTER (hits >= {NEEDED_HITS}) AS phrase,
-       min(try) FILTER (has_article) AS by_article FROM hits GROUP BY doc_id""",
+    f"""WITH {I.LEXICON}, {SQL_CATEGORIES}, {SQL_WORDS}, {SQL_STARTS}, {SQL_LISTS},
+{_sql_accepted('by_hits', NEEDED_HITS, {s: (f'has_{c}', 'has_article') for s, c in SLOT_CLASSES.items()})},
+{_sql_accepted('by_article', 1, {s: ('false', 'true') for s in SLOTS})}
+SELECT b.item_id AS doc_id, h.phrase AS by_hits, a.phrase AS by_article FROM benchmark b
+LEFT JOIN by_hits h ON h.doc_id = b.item_id LEFT JOIN by_article a ON a.doc_id = b.item_id""",
 )
 def accept_sentences(spark: SparkSession, d: str) -> DataFrame:
-    """The first accepted attempt per text, by each of the two rules."""
-    good = F.col("hits") >= NEEDED_HITS
-    return hits(spark, d).groupBy("doc_id").agg(
-        F.min(F.when(good, F.col("try"))).alias("by_hits"),
-        F.min_by("phrase", F.when(good, F.col("try"))).alias("phrase"),
-        F.min(F.when(F.col("has_article"), F.col("try"))).alias("by_article"),
+    """An accepted sentence per text, by each of the two rules; null only if there is none."""
+    lexicon = I.lexicon(spark, d)
+    tags = materialize(categories(lexicon))
+    numbered = materialize(sentences.numbered_lists(word_lists(lexicon), tags))
+    found = start_categories(spark, d, tags).groupBy("doc_id").agg(F.collect_set("category").alias("_found"))
+    texts = read_table(spark, d, "benchmark", F.col("item_id").alias("doc_id")).join(found, "doc_id", "left")
+
+    def has(category: str) -> Column:
+        return F.coalesce(F.array_contains("_found", category), F.lit(False))
+
+    by_hits = texts.select(
+        "doc_id",
+        *[has(c).alias(f"{s}_0") for s, c in SLOT_CLASSES.items()],
+        *[has(sentences.ARTICLE).alias(f"{s}_1") for s in SLOTS],
+    )
+    by_article = texts.select(
+        "doc_id", *[F.lit(False).alias(f"{s}_0") for s in SLOTS], *[F.lit(True).alias(f"{s}_1") for s in SLOTS]
     )
+    out = texts.select("doc_id")
+    for name, rows, least in (("by_hits", by_hits, NEEDED_HITS), ("by_article", by_article, 1)):
+        drawn_ = sentences.draw_accepted(rows, numbered, SLOTS, "doc_id", name, least, I.SEED)
+        out = out.join(drawn_.withColumnRenamed("phrase", name), "doc_id", "left")
+    return out
