@@ -33,17 +33,19 @@ def python_next(best, context, order=3):
 
 def test_prediction_backs_off(spark):
     ids = stream()
-    table = nexttoken.followers(nexttoken.ngram_counts(made(spark, ids)))
+    counts = nexttoken.ngram_counts(made(spark, ids))
+    table, top = nexttoken.best_next(counts), nexttoken.last_resort(counts)
     best = python_best(ids)
-    asked = [ids[5:9], [1, 77, 0], [99, 98, 97], [3], [5, 2], [77]]
+    asked = [ids[5:9], [1, 77, 0], [99, 98, 97], [3], [5, 2], [77], []]
     df = spark.createDataFrame([(c,) for c in asked], "context array<bigint>")
-    got = {tuple(r.context): (r.predicted, r.n) for r in nexttoken.predict(df, table).collect()}
+    got = {tuple(r.context): (r.predicted, r.n) for r in nexttoken.predict(df, table, top).collect()}
     assert got == {tuple(c[-3:]): python_next(best, c[-3:]) for c in asked}
 
 
 def test_generation_equals_a_loop(spark):
     ids = stream()
-    table = nexttoken.followers(nexttoken.ngram_counts(made(spark, ids))).cache()
+    counts = nexttoken.ngram_counts(made(spark, ids)).cache()
+    table, top = nexttoken.best_next(counts).cache(), nexttoken.last_resort(counts)
     best = python_best(ids)
     prompts = [(0, ids[:6]), (1, ids[:6]), (2, [1, 2, 88]), (3, [4])]
     want = {}
@@ -54,7 +56,7 @@ def test_generation_equals_a_loop(spark):
             context.append(out[-1])
         want[number] = out
     df = spark.createDataFrame(prompts, "prompt_id bigint, context array<bigint>")
-    got = nexttoken.generate(df, table, 6, cut_every=2).collect()
+    got = nexttoken.generate(df, table, top, 6, cut_every=2).collect()
     assert {r.prompt_id: r.generated for r in got} == want
 
 
@@ -99,3 +101,16 @@ def test_hot_join_loses_and_repeats_nothing(spark):
     for limit in (0, 1, 5, 1000):
         got = hot_join(rows, table, ["k"], "uses", limit).select("i", "k", "v").collect()
         assert sorted(map(tuple, got)) == want
+
+
+def test_split_join_keeps_or_drops_what_the_table_lacks(spark):
+    from tokenloom.operators.skew import frequent, key_counts, split_join
+
+    rows = spark.createDataFrame([(i, i % 7 if i % 2 else 0) for i in range(400)], "i bigint, k bigint")
+    table = spark.createDataFrame([(0, "a"), (3, "b")], "k bigint, v string")
+    for share in (0, 3, 1000):
+        hot = frequent(key_counts(rows, ["k"]), ["k"], "_n", share)
+        left = split_join(rows, table, ["k"], hot, "left").select("i", "k", "v").collect()
+        assert sorted((r.i, r.k, r.v or "") for r in left) == sorted((r.i, r.k, {0: "a", 3: "b"}.get(r.k, "")) for r in rows.collect())
+        anti = split_join(rows, table.select("k"), ["k"], hot, "left_anti").collect()
+        assert sorted(r.i for r in anti) == sorted(r.i for r in rows.collect() if r.k not in (0, 3))

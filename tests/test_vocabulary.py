@@ -54,7 +54,7 @@ def test_skewed_stream_equals_python(spark):
     stream = [want[t] for text in texts for t in text.split()]
     for hot in (0, 1, 50, 10_000):
         ids = encoding.encode_stream(df, vocab).collect() if hot == 10_000 else None
-        known = vocabulary.encode_known(vocabulary.tokenize(df), vocab, hot_rows=hot)
+        known = vocabulary.encode_known(vocabulary.tokenize(df), vocab, share=hot)
         assert [r.id for r in known.orderBy("doc_id", "pos").collect()] == stream
     assert [(r.gpos, r.id) for r in sorted(ids, key=lambda r: r.gpos)] == list(enumerate(stream))
 

@@ -5,21 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of the broadcast part; the caller keeps keys and values short, so its size has a bound
-# that does not grow with the data.
-HOT_ROWS = 50_000
+from tokenloom.session import materialize
 
+# A key is frequent if more than one row in so many has it. So at most so many keys are, however
+# large the data is, and they are found by a filter on counts, without a sort.
+SHARE = 10_000
 
-def hot_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, limit: int = HOT_ROWS) -> DataFrame:
-    """Inner join of ``rows`` with a ``table`` of unique, short keys.
 
-    The keys with the largest ``weight`` (how many rows have them) are broadcast, so their rows
-    are not shuffled; the rest meets in an ordinary join without hot keys. ``table`` is read
-    more than once: materialize it first.
+def frequent(counts: DataFrame, keys: list[str], weight: str, share: int = SHARE) -> DataFrame:
+    """The frequent keys of ``counts``, which holds each key once and how many rows have it."""
+    total = counts.agg(F.coalesce(F.sum(weight), F.lit(0))).scalar()
+    return counts.filter(F.col(weight) * share > total).select(*keys)
+
+
+def key_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and ``_n``, the rows with each; summed in each task first."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+
+
+def split_join(rows: DataFrame, table: DataFrame, keys: list[str], hot: DataFrame, how: str = "inner") -> DataFrame:
+    """Join ``rows`` with a ``table`` of unique keys: ``inner``, ``left`` or ``left_anti``.
+
+    ``hot`` names the frequent keys of ``rows``, at most ``SHARE`` of them. They and their table rows are broadcast, so
+    their rows are not shuffled; the rest, in which no key is frequent, meets in an ordinary join.
+    ``hot`` and ``table`` are read more than once: materialize them first.
+    """
+    known = table.join(F.broadcast(hot), keys, "left_semi")
+    marked = F.broadcast(hot.join(known.withColumn("_known", F.lit(True)), keys, "left"))
+    often = rows.join(marked, keys)
+    if how == "left_anti":
+        often = often.filter(F.col("_known").isNull()).select(*rows.columns)
+    elif how == "inner":
+        often = often.filter("_known")
+    often = often.drop("_known")
+    seldom = rows.join(F.broadcast(hot), keys, "left_anti")
+    cold = table.join(F.broadcast(hot), keys, "left_anti")
+    return often.unionByName(seldom.join(cold, keys, how))
+
+
+def hot_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, share: int = SHARE) -> DataFrame:
+    """Inner join of ``rows`` with a ``table`` of unique keys that knows how many rows have each
+    (``weight``, dropped from the result). Materialize ``table`` first.
     """
-    hot = table.orderBy(F.desc(weight), *keys).limit(limit).drop(weight)
-    frequent = rows.join(F.broadcast(hot), keys)
-    hot_keys = hot.select(*keys)
-    cold = table.drop(weight).join(F.broadcast(hot_keys), keys, "left_anti")
-    rare = rows.join(F.broadcast(hot_keys), keys, "left_anti").join(cold, keys)
-    return frequent.unionByName(rare)
+    hot = materialize(frequent(table, keys, weight, share))
+    return split_join(rows, table.drop(weight), keys, hot)

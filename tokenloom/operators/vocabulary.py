@@ -1,8 +1,7 @@
 """Tokens and the token -> id table.
 
 A token table has ``(doc_id, pos, token)``; a vocabulary has ``(token, id, n)``, where ``n``
-is how often the token was seen when it was added (it picks the broadcast part in
-``encode_known``).
+is how often the token was seen when it was added.
 """
 
 from __future__ import annotations
@@ -12,12 +11,8 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import compress_id, split_ws
 from tokenloom.operators.order import dense_index, token_starts
-
-# Bounds of the broadcast part of a vocabulary: rows, and bytes of one token. Their product
-# (about 6 MB) does not grow with the data.
-HOT_TOKENS = 50_000
-HOT_TOKEN_BYTES = 64
-
+from tokenloom.operators.skew import SHARE, frequent, key_counts, split_join
+from tokenloom.session import materialize
 
 def tokenize(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per whitespace token."""
@@ -87,32 +82,24 @@ def used_entries(vocab: DataFrame, tokens: DataFrame) -> DataFrame:
     return vocab.join(tokens.select("token").distinct(), "token", "left_semi")
 
 
-def hot_entries(vocab: DataFrame, rows: int = HOT_TOKENS) -> DataFrame:
-    """The most used short tokens: at most ``rows`` rows of at most HOT_TOKEN_BYTES each."""
-    short = vocab.filter(F.octet_length("token") <= HOT_TOKEN_BYTES)
-    counted = [F.desc("n")] if "n" in vocab.columns else []
-    return short.orderBy(*counted, "id").limit(rows)
+def hot_tokens(tokens: DataFrame, share: int = SHARE) -> DataFrame:
+    """The frequent tokens of a token table, counted in the very rows that are to be joined."""
+    return materialize(frequent(key_counts(tokens.select("token"), ["token"]), ["token"], "_n", share))
 
 
-def encode_known(tokens: DataFrame, vocab: DataFrame, hot_rows: int = HOT_TOKENS) -> DataFrame:
+def encode_known(tokens: DataFrame, vocab: DataFrame, share: int = SHARE, hot: DataFrame | None = None) -> DataFrame:
     """Replace tokens by ids and drop unknown ones; all other columns stay.
 
-    Frequent tokens meet a broadcast table of fixed size and are not shuffled, so a word that
-    makes up a third of the stream costs nothing extra. The rest is an ordinary join, whose
-    keys are rare by construction.
+    Frequent tokens, known or not, are settled against a broadcast table and never shuffled, so a word that
+    makes up a third of the stream costs nothing extra. ``hot`` names them if they are known already.
     """
-    hot = hot_entries(vocab, hot_rows).select("token", "id")
-    frequent = tokens.join(F.broadcast(hot), "token")
-    cold = vocab.select("token", "id").join(F.broadcast(hot.select("token")), "token", "left_anti")
-    rare = tokens.join(F.broadcast(hot.select("token")), "token", "left_anti").join(cold, "token")
-    return frequent.unionByName(rare)
-
-
-def unknown(tokens: DataFrame, vocab: DataFrame, hot_rows: int = HOT_TOKENS) -> DataFrame:
-    """Token rows outside the vocabulary. Frequent known tokens leave before the shuffle."""
-    hot = hot_entries(vocab, hot_rows).select("token")
-    rest = tokens.join(F.broadcast(hot), "token", "left_anti")
-    return rest.join(vocab.select("token"), "token", "left_anti")
+    hot = hot_tokens(tokens, share) if hot is None else hot
+    return split_join(tokens, vocab.select("token", "id"), ["token"], hot).drop("token")
+
+
+def unknown(tokens: DataFrame, vocab: DataFrame, share: int = SHARE) -> DataFrame:
+    """Token rows outside the vocabulary; frequent tokens are settled before the shuffle."""
+    return split_join(tokens, vocab.select("token"), ["token"], hot_tokens(tokens, share), "left_anti")
 
 
 def duplicates(entries: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def vocab_of(docs: DataFrame, start: int = 0) -> DataFrame:
 def stream_of(docs: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
     """The materialized ID stream of ``docs``."""
     if vocab is None:
-        vocab = vocab_of(docs)
+        return materialize(encoding.encode_stream(docs, vocab_of(docs), counted=True))
     return materialize(encoding.encode_stream(docs, vocab))
 
 

@@ -199,14 +199,14 @@ def _prompt_ids(spark: SparkSession, d: str, vocab: DataFrame) -> DataFrame:
 @query(
     "ids_to_phrase",
     f"""WITH {SQL_PROMPT_IDS},
-slot AS (SELECT id % 5000 AS id, arg_min(token, id) AS token FROM voc WHERE id % 10 <> 7 GROUP BY 1)
+slot AS (SELECT id % 5000 AS id, arg_min(token, id) AS token FROM voc GROUP BY 1)
 SELECT p.doc_id, string_agg(CASE WHEN p.id < 5000 THEN coalesce(s.token, '<unk>') ELSE '<id:' || p.id || '>' END,
        ' ' ORDER BY p.pos) AS phrase
 FROM pids p LEFT JOIN slot s ON p.id = s.id GROUP BY p.doc_id""",
 )
 def ids_to_phrase(spark: SparkSession, d: str) -> DataFrame:
     vocab = I.vocab_of(I.documents(spark, d))
-    slots = vocabulary.slots(vocab.filter("id % 10 <> 7"), 5000)
+    slots = vocabulary.slots(vocab, 5000)
     return encoding.to_phrases(_prompt_ids(spark, d, vocab), slots, 5000)
 
 
