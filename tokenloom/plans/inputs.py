@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import clean_web, is_french, is_long_enough, split_phrase
 from tokenloom.operators import encoding, vocabulary
+from tokenloom.operators.order import exclusive_sum
 from tokenloom.session import materialize
 from tokenloom.sources.readers import read_table, spread
 
@@ -15,6 +16,7 @@ CONTEXT, CHUNK, BATCH = 8, 5000, 2
 EMB_DIM, HIDDEN_DIM = 64, 128
 SEED = 42
 ORDER = 3
+TURN_BITS = 16  # 65,536 turns are numbered together
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,9 +28,22 @@ def prompts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def turns(spark: SparkSession, folder: str) -> DataFrame:
-    """Turns of conversations as texts with one bigint order key."""
-    key = (F.shiftleft("conv_id", 20) + F.col("turn")).alias("doc_id")
-    return spread(read_table(spark, folder, "conversations", key, "text"), "doc_id")
+    """Turns of conversations as texts, numbered 0, 1, 2, ... by conversation and turn.
+
+    A conversation starts at the number of turns before it. Its turns are numbered in blocks, so an endless one is many groups.
+    """
+    rows = spread(read_table(spark, folder, "conversations", "conv_id", "turn", "text"), "conv_id")
+    keys = rows.select("conv_id", F.shiftright("turn", TURN_BITS).alias("_block"))
+    blocks = keys.groupBy("conv_id", "_block").agg(F.count("*").alias("_n"))
+    sizes = blocks.groupBy("conv_id").agg(F.sum("_n").alias("_all"))
+    earlier = exclusive_sum(sizes, "conv_id", "_all", "_begin").select("conv_id", "_begin")
+    before = Window.partitionBy("conv_id").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("_inside", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(earlier, "conv_id")
+    starts = starts.select("conv_id", "_block", (F.col("_begin") + F.col("_inside")).alias("_start"))
+    numbered = rows.withColumn("_block", F.shiftright("turn", TURN_BITS))
+    place = F.row_number().over(Window.partitionBy("conv_id", "_block").orderBy("turn"))
+    numbered = numbered.withColumn("_place", place).join(starts, ["conv_id", "_block"])
+    return numbered.select((F.col("_start") + F.col("_place") - 1).alias("doc_id"), "text")
 
 
 def web_corpus(docs: DataFrame) -> DataFrame:
@@ -112,8 +127,8 @@ DOC_TOKENS = sql_tokens("tok")
 DOC_VOCAB = f"{DOC_TOKENS},\n{sql_vocab('voc', 'tok')}"
 DOC_IDS = f"{DOC_VOCAB},\n{sql_ids('ids', 'tok', 'voc')}"
 PROMPT_TOKENS = sql_tokens("ptok", "benchmark", "item_id")
-TURN_KEY = "conv_id * 1048576 + turn"
-TURN_TOKENS = sql_tokens("ttok", "conversations", TURN_KEY)
+TURNS = "(SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS doc_id, text FROM conversations)"
+TURN_TOKENS = sql_tokens("ttok", TURNS)
 
 SQL_SPLIT_PHRASE = (
     "list_filter(string_split(regexp_replace(lower({0}), '[^a-zA-Z0-9éèàùç ]', ' ', 'g'), ' '), lambda x: x <> '')"

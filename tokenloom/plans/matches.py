@@ -195,7 +195,7 @@ def _sql_pick(rows: str, row: str, slot: str) -> str:
 
 @query(
     "random_pick",
-    f"""WITH {I.LEXICON}, rows AS (SELECT conv_id * 1048576 + turn AS doc_id FROM conversations), {_sql_pick('rows', 'doc_id', 'nom')}
+    f"""WITH {I.LEXICON}, rows AS (SELECT doc_id FROM {I.TURNS}), {_sql_pick('rows', 'doc_id', 'nom')}
 SELECT doc_id, nom FROM pick_nom""",
 )
 def random_pick(spark: SparkSession, d: str) -> DataFrame:
