@@ -65,4 +65,4 @@ def test_progress_is_cumulative(spark):
     ids = spark.createDataFrame([(i,) for i in range(25)], "gpos bigint")
     first = spark.createDataFrame([(0,), (3,), (21,)], "gpos bigint")
     rows = windows.progress(ids, first, 10).orderBy("block").collect()
-    assert [tuple(r) for r in rows] == [(0, 10, 2), (1, 20, 2), (2, 25, 3)]
+    assert [tuple(r) for r in rows] == [(0, 10, 2, 0.2), (1, 20, 2, 0.0), (2, 25, 3, 0.2)]

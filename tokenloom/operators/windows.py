@@ -77,7 +77,8 @@ def token_budget(ids: DataFrame, limit: int) -> DataFrame:
 
 
 def progress(ids: DataFrame, first_uses: DataFrame, every: int) -> DataFrame:
-    """``(block, tokens, new_tokens)``: running totals after each ``every`` tokens.
+    """``(block, tokens, new_tokens, new_rate)``: running totals after each ``every`` tokens, and the
+    share of new ones in the block itself.
 
     ``first_uses`` has the stream position ``gpos`` of every new token.
     """
@@ -90,4 +91,5 @@ def progress(ids: DataFrame, first_uses: DataFrame, every: int) -> DataFrame:
         "block",
         (F.col("_t0") + F.col("_tokens")).alias("tokens"),
         (F.col("_n0") + F.col("_new")).alias("new_tokens"),
+        (F.col("_new") / F.col("_tokens")).alias("new_rate"),
     )

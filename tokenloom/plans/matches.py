@@ -230,13 +230,16 @@ def sentence_cross(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "sentence_template",
     f"""WITH {SQL_WORDS}
-SELECT doc_id, max(word) FILTER (pos = 0) || ' ' || max(word) FILTER (pos = 1) || ' ' || max(word) FILTER (pos = 2) AS phrase
-FROM pwords GROUP BY doc_id""",
+SELECT doc_id, pos // 3 AS number, string_agg(word, ' ' ORDER BY pos) AS phrase
+FROM pwords GROUP BY ALL HAVING count(*) = 3""",
 )
 def sentence_template(spark: SparkSession, d: str) -> DataFrame:
-    """Three slots, here filled with the first words of each text."""
-    split = I.prompts(spark, d).withColumn("w", split_phrase("text"))
-    return split.select("doc_id", sentence(F.col("w")[0], F.col("w")[1], F.col("w")[2]).alias("phrase"))
+    """Three slots, filled with one three words after the other of each text."""
+    split = I.prompts(spark, d).withColumn("w", split_phrase("text")).filter(F.size("w") >= 3)
+    starts = F.sequence(F.lit(0), F.size("w") - 3, F.lit(3))
+    rows = split.select("doc_id", "w", F.posexplode(starts).alias("number", "at"))
+    words = [F.get("w", F.col("at") + i) for i in range(3)]
+    return rows.select("doc_id", F.col("number").cast("bigint").alias("number"), sentence(*words).alias("phrase"))
 
 
 def start_categories(spark: SparkSession, d: str, tags: DataFrame) -> DataFrame:

@@ -161,7 +161,9 @@ def new_token_count(spark: SparkSession, d: str) -> DataFrame:
 b AS (SELECT gpos // {PROGRESS_EVERY} AS block, count(*) AS t FROM ids GROUP BY 1),
 f AS (SELECT gpos // {PROGRESS_EVERY} AS block, count(*) AS n FROM firsts GROUP BY 1)
 SELECT block, (sum(t) OVER (ORDER BY block))::BIGINT AS tokens,
-       (sum(coalesce(n, 0)) OVER (ORDER BY block))::BIGINT AS new_tokens
+       (sum(coalesce(n, 0)) OVER (ORDER BY block))::BIGINT AS new_tokens,
+       round(sum(t) OVER (ORDER BY block) / (SELECT count(*) FROM ids), 6) AS share,
+       round(coalesce(n, 0) / t, 6) AS new_rate
 FROM b LEFT JOIN f USING (block)""",
 )
 def progress_rate(spark: SparkSession, d: str) -> DataFrame:
@@ -170,7 +172,9 @@ def progress_rate(spark: SparkSession, d: str) -> DataFrame:
     tokens = vocabulary.tokenize(docs)
     firsts = vocabulary.placed_first(vocabulary.first_seen(tokens), starts)
     placed = encoding.with_position(tokens.select("doc_id", "pos"), starts)
-    return windows.progress(placed, firsts, PROGRESS_EVERY)
+    done = windows.progress(placed, firsts, PROGRESS_EVERY)
+    share = F.round(F.col("tokens") / tokens.agg(F.count("*")).scalar(), 6)
+    return done.withColumn("share", share).withColumn("new_rate", F.round("new_rate", 6))
 
 
 @query(
