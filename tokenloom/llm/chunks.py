@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.llm.common import stored
+
 LEAST, MASK_BITS, MOST = 24, 5, 256  # bytes of a chunk: at least, 2**bits more on average, at most
 MIN_RUN = 96  # bytes of repeated chunks in a row that are worth removing
 _GEAR = np.random.default_rng(5).integers(0, 2**32, 256, dtype=np.uint32)
@@ -90,9 +92,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     rows = chunk_rows(docs)
     twice = rows.groupBy("d1").agg(F.count("*").alias("n")).filter("n > 1").select("d1")
-    some = rows.join(twice, "d1")
+    # Stored sums leave both sides of a join free, so a frequent chunk's rows can be split over tasks.
+    some = stored(rows.join(stored(twice, "repeated-chunks"), "d1"), "chunk-places")
     place = F.struct(F.col("_doc").isNull().alias("u"), "_doc", "_text", "start")
-    first = some.groupBy("d1", "d2").agg(F.min(place).alias("first"))
+    first = stored(some.groupBy("d1", "d2").agg(F.min(place).alias("first")), "first-places")
     later = some.join(first, ["d1", "d2"]).filter(place > F.col("first"))
     return later.select("_doc", "_text", "start", (F.col("start") + F.col("length")).alias("end"))
 
