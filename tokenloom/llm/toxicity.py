@@ -20,7 +20,8 @@ FOLDS, HELD_OUT = 5, 0  # Fixed values: rows whose crc32(doc_id) mod 5 is 0 are
 FEATURES = 4096  # most words and word starts the model keeps
 TRIGRAMS = 60_000  # most letter trigrams the language model keeps
 STARTS = (4, 5, 6)  # lengths of word starts that count besides the whole word
-CAUTION = 2.5  # standard errors taken off a log-odds weight
+CAUTION = (2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0)  # standard errors that may be taken off a log-odds weight
+CALIBRATION = 3  # tenths of the sample that choose the caution and the scale of scores, and give no weights
 STRONGEST = 3  # words of a text that add to its score
 
 # Letters that a sign may stand for.
@@ -211,9 +212,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Toxicity:
     """Fit on about ``sample`` labelled documents of each class outside the held-out fold.
 
-    A word's weight is its log-odds between toxic and other texts, less ``CAUTION`` standard errors
-    and never below 0, so words that few texts hold weigh nothing. Only the ``FEATURES`` heaviest
-    words and the most frequent ``TRIGRAMS`` come to the driver. Without labels of both
+    A word's weight is its log-odds between toxic and other texts, less some standard errors
+    and never below 0. Words of groups of copies look telling in the texts they come from, so the number of
+    standard errors, and slope and offset, come from texts that gave no weights: the ones that fit those best.
+    Only the ``FEATURES`` heaviest words and the most frequent ``TRIGRAMS`` come to the driver. Without labels of both
     classes every text gets the base rate, or 0.05 if there is none.
     """
     known = labels.filter("toxic IN (0, 1)").filter(crc32_bucket("doc_id", FOLDS) != HELD_OUT)
@@ -222,35 +224,54 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Toxicity:
     if len(have) < 2:
         share = (have.get(1, 0) + 1) / (sum(have.values()) + 20)
         return Toxicity(offset=math.log(share / (1 - share)))
-    rate = {y: min(1.0, sample / n) for y, n in have.items()}
+    rate = {y: min(1.0, sample / n) for y, n in have.items()}  # the drawn share of each class
     drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / (1 << 20)
     picked = known.filter(drawn < F.when(F.col("toxic") == 1, rate[1]).otherwise(rate[0]))
     # At most about two times ``sample`` ids of 16 bytes: a broadcast of a fixed size.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")
-    chosen = stored(chosen, "toxicity-sample")
-    counts = _counts(chosen)
-    n1, n0 = have[1] * rate[1], have[0] * rate[0]
+    tenth = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(10))
+    chosen = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    chosen = stored(chosen.select("text", "toxic", (tenth < CALIBRATION).alias("apart")), "toxicity-sample")
+    weighing, apart = chosen.filter("NOT apart"), chosen.filter("apart")
+    sizes = {r["toxic"]: r["n"] for r in weighing.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    counts = _counts(weighing)
     pos, neg = F.col("pos") + 0.5, F.col("neg") + 0.5
-    weight = F.log(pos / (n1 + 1)) - F.log(neg / (n0 + 1)) - CAUTION * F.sqrt(1 / pos + 1 / neg)
-    heavy = counts.filter("kind = 'f'").withColumn("w", weight).filter("w > 0")
+    odds = F.log(pos / (sizes.get(1, 0) + 1)) - F.log(neg / (sizes.get(0, 0) + 1))
+    heavy = counts.filter("kind = 'f'").select("kind", "item", "pos", odds.alias("odds"), F.sqrt(1 / pos + 1 / neg).alias("error"))
+    heavy = heavy.withColumn("w", F.col("odds") - min(CAUTION) * F.col("error")).filter("w > 0")
     heavy = heavy.orderBy(F.desc("w"), "item").limit(FEATURES)
     grams = counts.filter("kind = 't'").orderBy(F.desc("pos"), "item").limit(TRIGRAMS)
-    rows = heavy.select("kind", "item", "pos", "w").unionByName(grams.select("kind", "item", "pos", F.lit(0.0).alias("w"))).collect()
-    model = Toxicity(
-        {r["item"]: r["w"] for r in rows if r["kind"] == "f"}, {r["item"]: r["pos"] for r in rows if r["kind"] == "t"}
-    )
+    zero = F.lit(0.0)
+    grams = grams.select("kind", "item", "pos", zero.alias("odds"), zero.alias("error"), zero.alias("w"))
+    rows = heavy.unionByName(grams).collect()
+    trigrams = {r["item"]: r["pos"] for r in rows if r["kind"] == "t"}
+
+    def cautious(errors: float) -> Toxicity:
+        weights = {r["item"]: r["odds"] - errors * r["error"] for r in rows if r["kind"] == "f"}
+        return Toxicity({k: w for k, w in weights.items() if w > 0}, trigrams)
+
+    models = [cautious(c) for c in CAUTION]
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = model.scorer()
+        scorers = [m.scorer() for m in models]
         for batch in batches:
-            raw = pa.array([scorer.raw(t) for t in batch.column(0).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([raw, batch.column(1).cast(pa.int64())], names=["raw", "toxic"])
-
-    points = chosen.mapInArrow(sums, "raw double, toxic bigint").groupBy("raw", "toxic").agg(F.count("*").alias("n")).collect()
-    x, y = np.array([r["raw"] for r in points]), np.array([r["toxic"] for r in points], dtype=float)
-    n = np.array([r["n"] / rate[r["toxic"]] for r in points])
-    model.slope, model.offset = _logistic(x, y, n)
-    return model
+            texts = batch.column(0).to_pylist()
+            for number, scorer in enumerate(scorers):
+                raw = pa.array([scorer.raw(t) for t in texts], pa.float64())
+                which = pa.array([number] * len(texts), pa.int32())
+                yield pa.RecordBatch.from_arrays([which, raw, batch.column(1).cast(pa.int64())], names=["model", "raw", "toxic"])
+
+    points = apart.select("text", "toxic").mapInArrow(sums, "model int, raw double, toxic bigint")
+    points = points.groupBy("model", "raw", "toxic").agg(F.count("*").alias("n")).collect()
+    best: tuple[float, int] = (math.inf, 0)
+    for number, model in enumerate(models):
+        own = [r for r in points if r["model"] == number]
+        x, y = np.array([r["raw"] for r in own]), np.array([r["toxic"] for r in own], dtype=float)
+        n = np.array([r["n"] / rate[r["toxic"]] for r in own])
+        model.slope, model.offset = _logistic(x, y, n)
+        p = 1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -30, 30)))
+        loss = -float((n * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum())
+        best = min(best, (loss, number))
+    return models[best[1]]
 
 
 def score(docs: DataFrame, model: Toxicity) -> DataFrame:
