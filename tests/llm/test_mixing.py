@@ -1,7 +1,6 @@
 """The mix against its SQL and its promises."""
 
-import duckdb
-from conftest import FOLDER  # noqa: F401
+
 from llm_data import duck_of
 
 from tokenloom.llm import mixing

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tokenloom.llm import chunks, jaccard, langid, mixing, packing, quality, secrets, suffixes, topk, toxicity
 from tokenloom.llm.common import crc32_bucket, table
