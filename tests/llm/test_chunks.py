@@ -3,9 +3,8 @@
 import hashlib
 
 import numpy as np
-from conftest import PROSE, row
+from llm_data import PROSE, SCHEMA, row
 
-from conftest import SCHEMA
 from tokenloom.llm import chunks
 
 

@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import FOLDER, SCHEMA, row
+from llm_data import FOLDER, SCHEMA, row
 
 from tokenloom.llm import jaccard
 from tokenloom.llm.shingles import shingle_sets

@@ -3,7 +3,7 @@
 import zlib
 
 import numpy as np
-from conftest import FOLDER
+from llm_data import FOLDER
 
 from tokenloom.llm import langid
 

@@ -1,6 +1,5 @@
 """The mix against its SQL and its promises."""
 
-
 from llm_data import duck_of
 
 from tokenloom.llm import mixing

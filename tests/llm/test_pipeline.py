@@ -1,7 +1,7 @@
 """The pipeline on odd and on planted rows."""
 
 import numpy as np
-from conftest import LABELS, SCHEMA, odd_rows, row
+from llm_data import LABELS, SCHEMA, odd_rows, row
 
 import corpus_pipeline
 from tokenloom.llm.packing import WordEncoder

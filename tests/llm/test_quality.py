@@ -5,6 +5,7 @@ from fractions import Fraction
 from math import comb
 
 import pytest
+from llm_data import duck_of
 from pyspark.sql import functions as F
 
 from tokenloom.llm import quality
@@ -73,6 +74,15 @@ def test_few_labels_prove_nothing(spark):
     assert quality.chosen_cutoffs(quality.measures(frame), labels).count() == 0
 
 
+def test_equals_its_sql_on_odd_rows(spark, odd, some_labels):
+    con = duck_of(odd, "documents")
+    con.register("labels", some_labels.toArrow())
+    got = quality.judge(odd, some_labels)
+    columns = sorted(got.columns)
+    want = con.sql(quality.SQL).select(*columns).fetchall()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.select(*columns).collect())
+
+
 def test_odd_rows(odd, nothing, some_labels, no_labels):
     assert quality.judge(odd, some_labels).count() == odd.count()
     assert quality.judge(odd, no_labels).count() == odd.count()

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import SCHEMA, row
+from llm_data import SCHEMA, row
 
 from tokenloom.llm import chunks, suffixes
 

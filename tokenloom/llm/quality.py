@@ -196,3 +196,45 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base.alias("base_failed"), (~base & ~rejected).alias("kept"),
     )
+
+
+def _sql() -> str:
+    """The same in SQL; probabilities are summed from the first term on."""
+    rules = {
+        "symbols": ("n_symbols", "word_chars"),
+        "dup_lines": ("n_dup_lines", "n_lines"),
+        "repeats": ("n_repeat_words", "n_words"),
+    }
+    rate = {n: f"CASE WHEN {w} > 0 THEN {p} * 1000 // {w} ELSE 0 END" for n, (p, w) in rules.items()}
+    rated = " UNION ALL ".join(f"SELECT lang, '{n}' AS rule, {r} AS rate FROM held" for n, r in rate.items())
+    limits = ", ".join(f"max(cutoff) FILTER (rule = '{n}') AS max_{n}" for n in rules)
+    above = " OR ".join(f"coalesce({r} > max_{n}, false)" for n, r in rate.items())
+    last = WINDOW - 1
+    return rf"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT rid, i, array_to_string(w[i:i + {last}], ' ') AS g FROM (SELECT rid, w, unnest(range(1, (len(w) - {last - 1})::BIGINT)) AS i FROM w)),
+again AS (SELECT rid, i FROM g QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM again, range({WINDOW}) AS t(k) GROUP BY rid),
+m AS (
+  SELECT rid, doc_id, lang, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    (length(text) - length(translate(text, '{SYMBOLS}', '')))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
+    coalesce(n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN covered USING (rid)),
+b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m),
+held AS (SELECT * FROM b WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+rated AS ({rated}),
+counts AS (
+  SELECT lang, rule, cutoff, count(*) AS n, count(*) FILTER (rate > cutoff) AS k
+  FROM rated, (SELECT unnest({list(CUTOFFS)}) AS cutoff) GROUP BY ALL),
+tested AS (
+  SELECT *, count(*) OVER () AS tests, CASE WHEN k > n * {RISK} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i:
+    exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) END AS p FROM counts),
+chosen AS (SELECT lang, rule, min(cutoff) AS cutoff FROM tested WHERE p <= {DELTA} / tests GROUP BY ALL),
+wide AS (SELECT lang, {limits} FROM chosen GROUP BY lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({above}) AS kept
+FROM b LEFT JOIN wide ON b.lang IS NOT DISTINCT FROM wide.lang"""
+
+
+SQL = _sql()

@@ -36,7 +36,7 @@ def nearest(spark: SparkSession, d: str) -> DataFrame:
     return topk.top_k(table(spark, d, "embeddings"))
 
 
-@query("op2_quality_rules")
+@query("op2_quality_rules", quality.SQL)
 def quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality.judge(table(spark, d, "documents"), table(spark, d, "labels"))
 
