@@ -135,11 +135,11 @@ def _grouped(rows: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Tab
     """Run ``work`` on many whole groups at a time.
 
     Groups are first put into batches by ``batch``, a hash of their key, as most hold a few rows and a call for each
-    would cost more than its work. ``work`` gets rows sorted by ``keys``.
+    would cost more than its work. ``work`` gets rows sorted by ``keys`` and ``id``.
     """
 
     def run(part: pa.Table) -> pa.Table:
-        return work(part.sort_by([(k, "ascending") for k in keys]))
+        return work(part.sort_by([(k, "ascending") for k in [*keys, "id"]]))
 
     return rows.groupBy(batch).applyInArrow(run, schema)
 
@@ -186,7 +186,11 @@ def _group_pairs(starts: np.ndarray, ends: np.ndarray, own: np.ndarray, left: np
 
 
 def _edges(sorted_rows: pa.Table, least: dict[int, int]) -> pa.Table:
-    """Spanning edges of the pairs that the Bayesian test keeps, in groups of two blocks of a band bucket."""
+    """Spanning edges of the pairs that the Bayesian test keeps, in groups of two blocks of a band bucket.
+
+    Trees hang on the smallest ids, and the buckets of a group of similar texts mostly come in the same batch,
+    whatever their band, so a group gives about one edge per text.
+    """
     n = sorted_rows.num_rows
     ids = sorted_rows["id"].to_numpy()
     sigs = np.frombuffer(b"".join(sorted_rows["_sig"].to_pylist()), dtype=np.uint8).reshape(n, HASHES)
@@ -194,25 +198,27 @@ def _edges(sorted_rows: pa.Table, least: dict[int, int]) -> pa.Table:
     columns = [sorted_rows[c].to_numpy() for c in ("band", "key", "left", "right")]
     cut = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
     starts, ends = np.concatenate(([0], cut)), np.concatenate((cut, [n]))
+    # A text has a row per band: pairs are told by text, so those of several bands count once.
+    names, at, node = np.unique(ids, return_index=True, return_inverse=True)
     found_a, found_b = [], []
     for a, b in _group_pairs(starts, ends, sorted_rows["_own"].to_numpy(), columns[2], columns[3]):
-        small, large = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+        a, b = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
+        a, b = np.divmod(np.unique(a * len(names) + b), len(names))
+        small, large = np.minimum(sizes[at[a]], sizes[at[b]]), np.maximum(sizes[at[a]], sizes[at[b]])
         stay = small >= THRESHOLD * large
         a, b = a[stay], b[stay]
         equal, done = np.zeros(len(a), dtype=np.int32), 0
         for step in STEPS:
-            equal += (sigs[a, done:step] == sigs[b, done:step]).sum(axis=1, dtype=np.int32)
+            equal += (sigs[at[a], done:step] == sigs[at[b], done:step]).sum(axis=1, dtype=np.int32)
             done = step
             stay = equal >= least[step]
             a, b, equal = a[stay], b[stay], equal[stay]
         found_a.append(a)
         found_b.append(b)
     a, b = np.concatenate([*found_a, np.zeros(0, int)]).astype(int), np.concatenate([*found_b, np.zeros(0, int)]).astype(int)
-    root = _forest(a, b, n)
-    moved = np.flatnonzero(root != np.arange(n))
-    one, two = ids[moved], ids[root[moved]]
-    pairs = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)]), axis=1)
-    return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+    root = _forest(a, b, len(names))
+    moved = np.flatnonzero(root != np.arange(len(names)))
+    return pa.table({"a": pa.array(names[root[moved]], pa.int64()), "b": pa.array(names[moved], pa.int64())})
 
 
 def components(edges: DataFrame, label: str = "cluster") -> DataFrame:
@@ -322,12 +328,13 @@ def join(docs: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     )
     classes = stored(classes, "classes")
     bands = stored(_band_rows(classes), "bands")
-    buckets = bands.groupBy("band", "key").agg(F.count("*").alias("members")).filter("members > 1")
+    buckets = bands.groupBy("band", "key").agg(F.count("*").alias("members"), F.min("id").alias("first"))
+    buckets = buckets.filter("members > 1")
     shared = bands.join(buckets, ["band", "key"]).join(classes.select("id", "_n", "_sig"), "id")
     pairs = _block_pairs(shared, "members")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slots = F.lit(16 * partitions)
-    pairs = pairs.withColumn("_slot", F.pmod(F.xxhash64("band", "key", "left", "right"), slots))
+    pairs = pairs.withColumn("_slot", F.pmod(F.xxhash64("first", "left", "right"), slots))
     least = least_matches(tolerance=tolerance)
     near = _grouped(pairs, ["band", "key", "left", "right"], lambda t: _edges(t, least), "a bigint, b bigint", "_slot")
     clusters = components(near)
