@@ -58,7 +58,12 @@ def blocks(vectors: DataFrame, size: int) -> DataFrame:
 
 def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The k best of each row, best first, ties to smaller ids."""
-    order = np.lexsort((ids, -scores), axis=-1)[:, :k]
+    if scores.dtype == object:  # whole numbers beyond 64 bits
+        rows = range(scores.shape[1])
+        order = [sorted(rows, key=lambda j: (-s[j], i[j]))[:k] for s, i in zip(scores.tolist(), ids.tolist(), strict=True)]
+        order = np.array(order)
+    else:
+        order = np.lexsort((ids, -scores), axis=-1)[:, :k]
     return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
 
@@ -75,7 +80,7 @@ def search_cell(queries: list[tuple], documents: list[tuple], k: int) -> Iterato
             continue
         high, low = np.stack([b[2] for b in mine]), np.stack([b[3] for b in mine])
         # Sums below 2**53 are exact as doubles; larger ones use whole numbers without a limit.
-        largest = float(np.abs(values).max(initial=0)) * max(float(np.abs(high).max()), float(np.abs(low).max()))
+        largest = float(np.abs(values).max(initial=0)) * max(float(np.abs(high).max(initial=0)), float(np.abs(low).max(initial=0)))
         kind = np.float64 if largest * values.shape[1] < 2**53 else object
         q = values.astype(kind)
         bound = np.maximum(q, 0) @ high.T.astype(kind) + np.minimum(q, 0) @ low.T.astype(kind)
