@@ -359,7 +359,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """``_doc, _text, start, end``: byte spans covered by strings of ``SPAN`` bytes that stand elsewhere too."""
     rows = anchor_rows(docs)
     twice = rows.groupBy("core").agg(F.count("*").alias("n")).filter("n > 1").select("core")
-    some = stored(rows.join(twice, "core"), "anchors")
+    # Stored sums leave both sides of a join free, so a frequent core's rows can be split over tasks.
+    some = stored(rows.join(stored(twice, "cores"), "core"), "anchors")
     # Anchors with all bytes equal are one item: if it stands twice, all its strings do.
     items = some.groupBy("core", "item1", "item2").agg(
         F.count("*").alias("n"), F.min(F.struct("_doc", "_text", "at")).alias("one")
@@ -372,7 +373,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     )
     # Only cores with several items are left to compare, one anchor of each item.
     several = items.groupBy("core").agg(F.count("*").alias("m")).filter("m > 1").select("core")
-    sought = items.join(several, "core").select("one._doc", "one._text", "one.at")
+    sought = items.join(stored(several, "mixed-cores"), "core").select("one._doc", "one._text", "one.at")
     sought = sought.groupBy("_doc", "_text").agg(F.collect_list("at").alias("places"))
     texts = docs.select(F.col("doc_id"), F.xxhash64("text").alias("_hash"), "text")
     texts = texts.join(sought, F.expr("doc_id <=> _doc AND _hash = _text")).dropDuplicates(["_doc", "_text"])
