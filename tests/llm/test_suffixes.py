@@ -55,6 +55,22 @@ def test_equals_all_strings(spark, monkeypatch, part, run):
     assert sorted((tuple(r) for r in got), key=repr) == plain_result(rows)
 
 
+def test_a_core_with_equal_keys_is_not_one_task(spark, monkeypatch):
+    """A common passage: the same 400 bytes to the right of an anchor, other bytes to the left in every text."""
+    monkeypatch.setattr(suffixes, "PART_ITEMS", 8)
+    monkeypatch.setattr(suffixes, "RUN_ITEMS", 10)
+    passage = text_of(250, 3)[:900]
+    rows = [(i, text_of(60 + i % 9, 500 + i) + passage + text_of(20, 900 + i)) for i in range(60)]
+    at = int(next(a for a in suffixes.anchors(np.frombuffer(passage.encode(), np.uint8)) if a < 191))
+    held = [(i, i, t, [t.index(passage) + at]) for i, t in rows] + [(99, 99, text_of(150, 42), [0, 1, 2, 3])]
+    runs = suffixes.sorted_runs(spark.createDataFrame(held, "_doc long, _text long, text string, places array<int>"))
+    _, shared = suffixes.splitters(runs.cache(), 8)
+    assert shared == {passage[at : at + suffixes.CORE].encode()}
+    frame = spark.createDataFrame([row(i, t) for i, t in rows], SCHEMA)
+    got = chunks.digest(suffixes.dedup(frame)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == plain_result(rows)
+
+
 @pytest.mark.parametrize("runs", [1, 2, 5, 8])
 def test_loser_tree_merges_with_prefixes(runs):
     rng = np.random.default_rng(runs)

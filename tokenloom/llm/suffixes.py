@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -255,10 +256,10 @@ def sorted_runs(texts: DataFrame) -> DataFrame:
 
 
 def splitters(runs: DataFrame, parts: int) -> tuple[list[bytes], set[bytes]]:
-    """Least keys of the ranges 1, 2, ..., and the cores that more than one range holds.
+    """Least cores of the ranges 1, 2, ..., and the cores that would fill more than one range.
 
     They come from a sample of about ``SAMPLES`` keys per range. A range begins with a whole core, so equal cores meet
-    in one task, unless a core is so frequent that several ranges begin within it.
+    in one task. A core at which two ranges or more would begin is shared by many suffixes, equal or not, and goes into no range.
     """
     total = runs.agg(F.sum("n")).first()[0] or 0
     every = max(1, total // (SAMPLES * parts))
@@ -267,21 +268,20 @@ def splitters(runs: DataFrame, parts: int) -> tuple[list[bytes], set[bytes]]:
         for batch in batches:
             for row in batch.to_pylist():
                 keys = _unpacked(row)[0]
-                # The first place is by the run's content, so short runs count by their share.
-                first = zlib.crc32(row["common"]) % every
+                # The first place is by the run's own places, so short runs count by their share, equal ones too.
+                first = zlib.crc32(row["places"]) % every
                 yield _arrow([(k,) for k in keys[first::every]], "key binary")
 
     if parts == 1:
         return [], set()
     keys = sorted(bytes(r["key"]) for r in runs.mapInArrow(sample, "key binary").collect())
-    picked = sorted({keys[i * len(keys) // parts] for i in range(1, parts)}) if keys else []
-    cores = [k[:CORE] for k in picked]
-    shared = {c for c in cores if cores.count(c) > 1}
-    return sorted({k if k[:CORE] in shared else k[:CORE] for k in picked}), shared
+    # Counted before they are made distinct: the sampled keys of a frequent core may all be the same.
+    cores = Counter(keys[i * len(keys) // parts][:CORE] for i in range(1, parts)) if keys else Counter()
+    return sorted(cores), {c for c, n in cores.items() if n > 1}
 
 
-def _cut_runs(runs: DataFrame, bounds: list[bytes]) -> DataFrame:
-    """The pieces of all runs by range: ``part`` and the columns of a run."""
+def _cut_runs(runs: DataFrame, bounds: list[bytes], shared: set[bytes]) -> DataFrame:
+    """The pieces of all runs by range, without the ``shared`` cores: ``part`` and the columns of a run."""
     schema = "part int, " + _RUN_SCHEMA
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,16 +290,43 @@ def _cut_runs(runs: DataFrame, bounds: list[bytes]) -> DataFrame:
                 keys, _, lefts, places = _unpacked(row)
                 edges = [0, *(bisect_left(keys, b) for b in bounds), len(keys)]
                 for part, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-                    if a < b:
-                        items = [
-                            (keys[i], lefts[i], None if places[i, 0] else int(places[i, 1]), int(places[i, 2]), int(places[i, 3]))
-                            for i in range(a, b)
-                        ]
+                    items = [
+                        (keys[i], lefts[i], None if places[i, 0] else int(places[i, 1]), int(places[i, 2]), int(places[i, 3]))
+                        for i in range(a, b)
+                        if keys[i][:CORE] not in shared
+                    ]
+                    if items:
                         yield _arrow([_packed(items, (part,))], schema)
 
     return runs.mapInArrow(run, schema)
 
 
+def _hashed_strings(runs: DataFrame, shared: set[bytes]) -> DataFrame:
+    """All strings of the suffixes with a ``shared`` core, by hash; they need no order, so they stay in their runs' tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, _, lefts, places = _unpacked(row)
+                out: list[tuple] = []
+                for i, key in enumerate(keys):
+                    if key[:CORE] not in shared:
+                        continue
+                    unknown, doc, text, at = places[i].tolist()
+                    whole, size = lefts[i] + key, len(lefts[i])
+                    for d in range(max(0, SPAN - len(key)), size + 1):
+                        name = hashlib.blake2b(whole[size - d : size - d + SPAN], digest_size=16).digest()
+                        f1, f2 = np.frombuffer(name, dtype="<i8").tolist()
+                        out.append((None if unknown else doc, text, at - d, at - d + SPAN, f1, f2))
+                    if len(out) > 20_000:
+                        yield _arrow(out, _HASHED)
+                        out = []
+                if out:
+                    yield _arrow(out, _HASHED)
+
+    return runs.mapInArrow(run, _HASHED)
+
+
 def repeats_in_order(prefix: np.ndarray, rights: np.ndarray, lefts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """For sorted suffixes, the least and largest offset d at which the string that begins d bytes
     before the anchor stands at another suffix too; -1 where there is none.
@@ -328,30 +355,22 @@ def repeats_in_order(prefix: np.ndarray, rights: np.ndarray, lefts: list[bytes])
     return low, high
 
 
-_FOUND = "_doc bigint, _text bigint, start bigint, end bigint, f1 bigint, f2 bigint"
+_FOUND = "_doc bigint, _text bigint, start bigint, end bigint"
+_HASHED = _FOUND + ", f1 bigint, f2 bigint"
 
 
-def _merge_part(rows: pa.Table, shared: set[bytes]) -> pa.Table:
-    """Merge one range's runs; spans of repeats, or hashed strings where a core goes over several ranges."""
+def _merge_part(rows: pa.Table) -> pa.Table:
+    """Merge one range's runs; spans of repeats."""
     runs = [_unpacked(r) for r in rows.drop_columns(["part"]).to_pylist()]
     order = list(LoserTree([(r[0], r[1].tolist()) for r in runs]))
     prefix = np.array([o[2] for o in order], dtype=np.int64)
-    keys = [runs[r][0][i] for r, i, _ in order]
     lefts = [runs[r][2][i] for r, i, _ in order]
     places = np.array([runs[r][3][i] for r, i, _ in order], dtype=np.int64).reshape(-1, 4)
     out: list[tuple] = []
-    apart = np.array([k[:CORE] in shared for k in keys]) if shared else np.zeros(len(keys), dtype=bool)
-    low, high = repeats_in_order(prefix, np.array([len(k) for k in keys]), lefts)
-    for i in np.flatnonzero((high >= 0) & ~apart).tolist():
-        unknown, doc, text, at = places[i].tolist()
-        out.append((None if unknown else doc, text, at - int(high[i]), at - int(low[i]) + SPAN, None, None))
-    for i in np.flatnonzero(apart).tolist():
+    low, high = repeats_in_order(prefix, np.array([len(runs[r][0][i]) for r, i, _ in order]), lefts)
+    for i in np.flatnonzero(high >= 0).tolist():
         unknown, doc, text, at = places[i].tolist()
-        whole, size = lefts[i] + keys[i], len(lefts[i])
-        for d in range(max(0, SPAN - len(keys[i])), size + 1):
-            name = hashlib.blake2b(whole[size - d : size - d + SPAN], digest_size=16).digest()
-            f1, f2 = np.frombuffer(name, dtype="<i8").tolist()
-            out.append((None if unknown else doc, text, at - d, at - d + SPAN, f1, f2))
+        out.append((None if unknown else doc, text, at - int(high[i]), at - int(low[i]) + SPAN))
     return pa.Table.from_batches([_arrow(out, _FOUND)])
 
 
@@ -381,11 +400,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     total = runs.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-total // PART_ITEMS))
     bounds, shared = splitters(runs, parts)
-    exchanged = _cut_runs(runs, bounds)
-    found = exchanged.groupBy("part").applyInArrow(lambda t: _merge_part(t, shared), _FOUND)
-    found = stored(found, "suffix-spans")
-    exact = found.filter("f1 IS NULL").select("_doc", "_text", "start", "end")
-    hashed = found.filter("f1 IS NOT NULL")
+    exchanged = _cut_runs(runs, bounds, shared)
+    exact = exchanged.groupBy("part").applyInArrow(_merge_part, _FOUND)
+    if not shared:
+        return full.unionByName(exact)
+    hashed = stored(_hashed_strings(runs, shared), "hashed-strings")
     # Two anchors may name the same place, which is no repeat of itself.
     place = F.struct(F.col("_doc").isNull().alias("u"), "_doc", "_text", "start")
     again = hashed.groupBy("f1", "f2").agg(F.min(place).alias("a"), F.max(place).alias("b"))
