@@ -38,6 +38,16 @@ def test_held_out_accuracy(spark, model):
     assert right > 0.9 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def test_letters_come_from_all_documents(spark):
+    """Words of unlabelled documents far beyond the sample have their counts."""
+    labelled = [(i, "the heat of it" if i % 2 else "you idiot") for i in range(40)]
+    rare = "zażółć gęślą jaźń"
+    docs = spark.createDataFrame(labelled + [(100 + i, rare) for i in range(5)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, 1 - i % 2) for i in range(40)], "doc_id long, quality long, toxic long")
+    letters = toxicity.fit(docs, labels, sample=10).trigrams
+    assert letters.get("jaź") == 5 and letters.get("^za") == 5 and letters.get("ń$x") == 0
+
+
 def test_accepted_keeps_clean_rows(spark, model):
     frame = spark.createDataFrame([(1, "the heat of it"), (2, "you idiot, moron, stupid clown, trash"), (3, None)], "doc_id long, text string")
     assert sorted(r.doc_id for r in toxicity.accepted(frame, model).collect()) == [1, 3]

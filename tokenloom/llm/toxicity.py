@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,7 +18,6 @@ from tokenloom.llm.common import crc32_bucket, stored
 SAMPLE = 6000  # labelled documents of each class, about, that the model is fitted on
 FOLDS, HELD_OUT = 5, 0  # Fixed values: rows whose crc32(doc_id) mod 5 is 0 are never learned from
 FEATURES = 4096  # most words and word starts the model keeps
-TRIGRAMS = 60_000  # most letter trigrams the language model keeps
 STARTS = (4, 5, 6)  # lengths of word starts that count besides the whole word
 CAUTION = (2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0)  # standard errors that may be taken off a log-odds weight
 CALIBRATION = 3  # tenths of the sample that choose the caution and the scale of scores, and give no weights
@@ -37,30 +36,51 @@ _RUN = re.compile(r"(.)\1\1")
 _TAIL = re.compile(r"([$+@!])\1+$")
 
 
+class Trigrams:
+    """How often letter trigrams stand in all documents: sorted codes of 21 bits a letter, and counts."""
+
+    def __init__(self, codes: Iterable[int] = (), counts: Iterable[int] = ()) -> None:
+        self.codes, self.counts = np.array(codes, dtype=np.int64), np.array(counts, dtype=np.int64)
+
+    def __len__(self) -> int:
+        return len(self.codes)
+
+    def get(self, gram: str) -> int:
+        code = ord(gram[0]) << 42 | ord(gram[1]) << 21 | ord(gram[2])
+        at = int(np.searchsorted(self.codes, code))
+        return int(self.counts[at]) if at < len(self.codes) and self.codes[at] == code else 0
+
+    def sums(self, name: Callable[[np.ndarray], np.ndarray]) -> Counter:
+        """Counts by ``name`` of the codes."""
+        names, inverse = np.unique(name(self.codes), return_inverse=True)
+        sums = np.zeros(len(names), dtype=np.int64)
+        np.add.at(sums, inverse, self.counts)
+        return Counter(dict(zip(names.tolist(), sums.tolist(), strict=True)))
+
+
+_LETTER = (1 << 21) - 1
+
+
 class LetterModel:
     """Letter trigrams with add-one back-off to bigrams; costs are negative logarithms."""
 
-    def __init__(self, trigrams: dict[str, int]) -> None:
-        self.three, self.two, self.one = dict(trigrams), Counter(), Counter()
-        for gram, n in trigrams.items():
-            self.two[gram[:2]] += n
-            self.one[gram[2]] += n
-        self.pairs = Counter()
-        for gram, n in trigrams.items():
-            self.pairs[gram[1:]] += n
-        self.middle = Counter()
-        for gram, n in trigrams.items():
-            self.middle[gram[1]] += n
-        self.total = sum(trigrams.values())
+    def __init__(self, trigrams: Trigrams) -> None:
+        self.three = trigrams
+        self.two = trigrams.sums(lambda c: c >> 21)
+        self.one = trigrams.sums(lambda c: c & _LETTER)
+        self.pairs = trigrams.sums(lambda c: c & ((1 << 42) - 1))
+        self.middle = trigrams.sums(lambda c: (c >> 21) & _LETTER)
+        self.total = int(trigrams.counts.sum())
         self.known: dict[str, float] = {}
 
     def cost(self, gram: str) -> float:
         """Cost of the third letter after the two before it."""
         found = self.known.get(gram)
         if found is None:
-            lone = (self.one[gram[2]] + 0.1) / (self.total + 10)
-            pair = (self.pairs[gram[1:]] + 2 * lone) / (self.middle[gram[1]] + 2)
-            found = -math.log((self.three.get(gram, 0) + 2 * pair) / (self.two[gram[:2]] + 2))
+            a, b, c = map(ord, gram)
+            lone = (self.one[c] + 0.1) / (self.total + 10)
+            pair = (self.pairs[b << 21 | c] + 2 * lone) / (self.middle[b] + 2)
+            found = -math.log((self.three.get(gram) + 2 * pair) / (self.two[a << 21 | b] + 2))
             self.known[gram] = found
         return found
 
@@ -116,7 +136,7 @@ class Toxicity:
     """A fitted model. ``weights`` are by feature; ``slope`` and ``offset`` turn sums to log-odds."""
 
     weights: dict[str, float] = field(default_factory=dict)
-    trigrams: dict[str, int] = field(default_factory=dict)
+    trigrams: Trigrams = field(default_factory=Trigrams)
     slope: float = 1.0
     offset: float = math.log(0.05)
 
@@ -129,14 +149,14 @@ class Scorer:
 
     ROOM = 300_000
 
-    def __init__(self, model: Toxicity) -> None:
-        self.model, self.letters, self.seen = model, LetterModel(model.trigrams), {}
+    def __init__(self, model: Toxicity, letters: LetterModel | None = None) -> None:
+        self.model, self.letters, self.seen = model, letters or LetterModel(model.trigrams), {}
 
     def weigh(self, token: str) -> tuple[float, str]:
         found = self.seen.get(token)
         if found is None:
             word, disguised = plain(token)
-            words = [word, restore(word, self.letters)] if disguised and self.model.trigrams else [word]
+            words = [word, restore(word, self.letters)] if disguised and len(self.model.trigrams) else [word]
             found = max((self.model.weights.get(f, 0.0), w) for w in words for f in features(w))
             if len(self.seen) < self.ROOM:
                 self.seen[token] = found
@@ -162,12 +182,11 @@ class Scorer:
 
 
 def _counts(docs: DataFrame) -> DataFrame:
-    """``(kind, item, pos, neg)``: in how many texts a feature stands, how often a trigram."""
+    """``item, pos, neg``: in how many toxic and other texts a feature stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums = [Counter(), Counter()]
-            grams: Counter = Counter()
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 words = set()
                 for token in (text or "").lower().split():
@@ -175,23 +194,60 @@ def _counts(docs: DataFrame) -> DataFrame:
                     if not disguised and word:
                         words.add(word)
                 sums[int(toxic == 1)].update({f for w in words for f in features(w)})
-                for word in words:
-                    marked = f"^^{word}$"
-                    grams.update(marked[i : i + 3] for i in range(len(word) + 1))
             items = sorted(sums[0].keys() | sums[1].keys())
-            every = sorted(grams)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(["f"] * len(items) + ["t"] * len(every), pa.string()),
-                    pa.array(items + every, pa.string()),
-                    pa.array([sums[1][f] for f in items] + [grams[g] for g in every], pa.int64()),
-                    pa.array([sums[0][f] for f in items] + [0] * len(every), pa.int64()),
-                ],
-                names=["kind", "item", "pos", "neg"],
-            )
+            numbers = [pa.array([side[f] for f in items], pa.int64()) for side in (sums[1], sums[0])]
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), *numbers], names=["item", "pos", "neg"])
+
+    each = docs.select("text", "toxic").mapInArrow(run, "item string, pos bigint, neg bigint")
+    return each.groupBy("item").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def _word_trigrams(words: dict[str, int]) -> Trigrams:
+    """Trigrams of marked words that stand in so many texts each."""
+    marked = "".join(f"^^{w}$" for w in words)
+    letters = np.frombuffer(marked.encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    lengths = np.array([len(w) + 3 for w in words])
+    inside = np.ones(len(letters), dtype=bool)  # all but the last two places of a word begin a trigram
+    ends = np.cumsum(lengths)
+    inside[ends - 1] = inside[ends - 2] = False
+    at = np.flatnonzero(inside)
+    codes, inverse = np.unique(letters[at] << 42 | letters[at + 1] << 21 | letters[at + 2], return_inverse=True)
+    counts = np.zeros(len(codes), dtype=np.int64)
+    np.add.at(counts, inverse, np.repeat(np.array(list(words.values())), lengths)[at])
+    return Trigrams(codes, counts)
+
+
+def letter_counts(docs: DataFrame) -> Trigrams:
+    """The trigrams of the plain words of every text, once for each text a word stands in.
+
+    Tasks sum first; what comes to the driver and goes to the tasks is 16 bytes for each different trigram.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens: Counter = Counter()
+
+        def summed() -> pa.RecordBatch:
+            words: Counter = Counter()
+            for token, n in tokens.items():
+                word, disguised = plain(token)
+                if not disguised and word.isalpha():
+                    words[word] += n
+            tokens.clear()
+            grams = _word_trigrams(words) if words else Trigrams()
+            return pa.RecordBatch.from_arrays([pa.array(grams.codes), pa.array(grams.counts)], names=["code", "n"])
+
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                tokens.update(set((text or "").lower().split()))
+                if len(tokens) > Scorer.ROOM:
+                    yield summed()
+        yield summed()
 
-    each = docs.select("text", "toxic").mapInArrow(run, "kind string, item string, pos bigint, neg bigint")
-    return each.groupBy("kind", "item").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    each = docs.select("text").mapInArrow(run, "code bigint, n bigint")
+    rows = each.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    codes, counts = rows["code"].to_numpy(), rows["n"].to_numpy()
+    order = np.argsort(codes)
+    return Trigrams(codes[order], counts[order])
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -215,8 +271,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Toxicity:
     A word's weight is its log-odds between toxic and other texts, less some standard errors
     and never below 0. Words of groups of copies look telling in the texts they come from, so the number of
     standard errors, and slope and offset, come from texts that gave no weights: the ones that fit those best.
-    Only the ``FEATURES`` heaviest words and the most frequent ``TRIGRAMS`` come to the driver. Without labels of both
-    classes every text gets the base rate, or 0.05 if there is none.
+    Letter trigrams are counted in all of ``docs``, labelled or not. Only the ``FEATURES`` heaviest words and the
+    trigrams come to the driver. Without labels of both classes every text gets the base rate, or 0.05 if there is none.
     """
     known = labels.filter("toxic IN (0, 1)").filter(crc32_bucket("doc_id", FOLDS) != HELD_OUT)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -236,23 +292,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Toxicity:
     counts = _counts(weighing)
     pos, neg = F.col("pos") + 0.5, F.col("neg") + 0.5
     odds = F.log(pos / (sizes.get(1, 0) + 1)) - F.log(neg / (sizes.get(0, 0) + 1))
-    heavy = counts.filter("kind = 'f'").select("kind", "item", "pos", odds.alias("odds"), F.sqrt(1 / pos + 1 / neg).alias("error"))
+    heavy = counts.select("item", "pos", odds.alias("odds"), F.sqrt(1 / pos + 1 / neg).alias("error"))
     heavy = heavy.withColumn("w", F.col("odds") - min(CAUTION) * F.col("error")).filter("w > 0")
-    heavy = heavy.orderBy(F.desc("w"), "item").limit(FEATURES)
-    grams = counts.filter("kind = 't'").orderBy(F.desc("pos"), "item").limit(TRIGRAMS)
-    zero = F.lit(0.0)
-    grams = grams.select("kind", "item", "pos", zero.alias("odds"), zero.alias("error"), zero.alias("w"))
-    rows = heavy.unionByName(grams).collect()
-    trigrams = {r["item"]: r["pos"] for r in rows if r["kind"] == "t"}
+    rows = heavy.orderBy(F.desc("w"), "item").limit(FEATURES).collect()
+    trigrams = letter_counts(docs)
 
     def cautious(errors: float) -> Toxicity:
-        weights = {r["item"]: r["odds"] - errors * r["error"] for r in rows if r["kind"] == "f"}
+        weights = {r["item"]: r["odds"] - errors * r["error"] for r in rows}
         return Toxicity({k: w for k, w in weights.items() if w > 0}, trigrams)
 
     models = [cautious(c) for c in CAUTION]
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorers = [m.scorer() for m in models]
+        letters = LetterModel(trigrams)
+        scorers = [Scorer(m, letters) for m in models]
         for batch in batches:
             texts = batch.column(0).to_pylist()
             for number, scorer in enumerate(scorers):
