@@ -38,6 +38,21 @@ def test_held_out_accuracy(spark, model):
     assert right > 0.9 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+CUT_OFF = ["!diot", "!d!0t", "(!diot)", "i  d  i  o  t", "i\nd\ni\no\nt", "a i d i o t", "x y i d i o t s o"]
+
+
+@pytest.mark.parametrize("seen", CUT_OFF)
+def test_scorer_sees_whole_disguises(model, seen):
+    plain = model.scorer().raw("the heat of idiot it")
+    assert plain > 1 and model.scorer().raw(f"the heat of {seen} it") > plain - 1
+
+
+def test_signs_alone_are_decoded():
+    letters = toxicity._word_trigrams({"ass": 50, "the": 50, "dumbass": 50})
+    scorer = toxicity.Toxicity({"ass": 3.0, "dumbass": 4.0}, letters).scorer()
+    assert scorer.raw("the 455 of it") == 3 and scorer.raw("the dumba$$ of it") == 4 and scorer.raw("in 2019 it") == 0
+
+
 def test_letters_come_from_all_documents(spark):
     """Words of unlabelled documents far beyond the sample have their counts."""
     labelled = [(i, "the heat of it" if i % 2 else "you idiot") for i in range(40)]

@@ -31,7 +31,8 @@ SIGNS = {
 GAPS = " .-_*~'’·,/\\#^`\"&%=:;)[]{}<>?"  # signs that may be put between letters
 SIGN_COST, GAP_COST, REPEAT_COST, ODD_COST = 1.0, 0.7, 0.5, 8.0
 _EDGE = ".,;:!?\"'()[]{}<>&%#*|~^=`/\\-_"
-_SPACED = re.compile(r"(?<!\S)(?:\S[ ]){2,}\S(?!\S)")
+_MARKS = tuple("".join(c for c in _EDGE if c not in kept) for kept in ("", "!|", "!|("))  # marks, less those that are signs too
+_SPACED = re.compile(r"(?<!\S)(?:\S\s+){2,}\S(?!\S)")
 _RUN = re.compile(r"(.)\1\1")
 _TAIL = re.compile(r"([$+@!])\1+$")
 
@@ -118,12 +119,33 @@ def restore(token: str, model: LetterModel) -> str:
 def plain(token: str) -> tuple[str, bool]:
     """A lower-case token without marks around it, and whether it may be disguised."""
     word = token.strip(_EDGE)
+    signed = token.lstrip(_MARKS[2])[:1] in ("!", "|") and word != ""
+    if not word.isalpha():
+        word = _TAIL.sub("", word)
     if word.isalpha():
-        return word, _RUN.search(word) is not None
-    word = _TAIL.sub("", word)
-    if word.isalpha():
-        return word, _RUN.search(word) is not None
-    return word, sum(map(str.isalpha, word)) > 0 and len(word) > 2
+        return word, signed or _RUN.search(word) is not None
+    return word, _hides(word)
+
+
+def _hides(word: str) -> bool:
+    """Whether a token that is no word may stand for one: it has a letter, or is of signs and gaps alone."""
+    if len(word) < 3:
+        return False
+    return any(map(str.isalpha, word)) or (any(c in SIGNS for c in word) and all(c in SIGNS or c in GAPS for c in word))
+
+
+def disguises(token: str) -> list[str]:
+    """What to decode of a lower-case token: with and without the marks at its ends that may be signs."""
+    if token.isalpha():
+        return [token] if _RUN.search(token) else []
+    found: dict[str, None] = {}
+    for left in _MARKS:
+        for right in _MARKS:
+            word = token.lstrip(left).rstrip(right)
+            for part in (word, _TAIL.sub("", word)):
+                if _RUN.search(part) if part.isalpha() else _hides(part):
+                    found[part] = None
+    return list(found)
 
 
 def features(word: str) -> list[str]:
@@ -151,29 +173,54 @@ class Scorer:
 
     def __init__(self, model: Toxicity, letters: LetterModel | None = None) -> None:
         self.model, self.letters, self.seen = model, letters or LetterModel(model.trigrams), {}
+        self.longest = max((len(f.rstrip("-")) for f in model.weights), default=0)
 
     def weigh(self, token: str) -> tuple[float, str]:
         found = self.seen.get(token)
         if found is None:
-            word, disguised = plain(token)
-            words = [word, restore(word, self.letters)] if disguised and len(self.model.trigrams) else [word]
+            words = [plain(token)[0]]
+            if len(self.model.trigrams):
+                words += [restore(d, self.letters) for d in disguises(token)]
             found = max((self.model.weights.get(f, 0.0), w) for w in words for f in features(w))
             if len(self.seen) < self.ROOM:
                 self.seen[token] = found
         return found
 
+    def spelled(self, run: str) -> list[tuple[float, str]]:
+        """The telling words in letters with white space between them, wherever they begin and end.
+
+        Every letter begins a reading as long as the longest telling word, each of its letters written
+        twice. The heaviest word goes first, and no other one is taken from its letters.
+        """
+        pieces: list[str] = []
+        for piece in run.split():
+            if (piece not in GAPS or piece in SIGNS) and pieces[-2:] != [piece, piece]:
+                pieces.append(piece)
+        hits = []
+        for at in range(len(pieces) - 2) if len(self.model.trigrams) else ():
+            word = restore("".join(pieces[at : at + 2 * self.longest]), self.letters)
+            ways = {word[:n] for n in range(3, min(len(word), self.longest) + 1)}
+            weight, best = max(((self.model.weights.get(f, 0.0), f) for w in ways for f in features(w)), default=(0.0, ""))
+            if weight > 0:
+                hits.append((weight, at, at + len(best.rstrip("-")), best))
+        taken: list[tuple[float, int, int, str]] = []
+        for hit in sorted(hits, key=lambda h: (-h[0], h[1])):
+            if all(hit[2] <= a or b <= hit[1] for _, a, b, _ in taken):
+                taken.append(hit)
+        return [(weight, best) for weight, _, _, best in taken]
+
     def raw(self, text: str | None) -> float:
         """Sum of the strongest weights of the text's different words."""
         if not text:
             return 0.0
         low = text.lower()
-        tokens = set(low.split())
-        tokens.update(m[0] for m in _SPACED.finditer(low))
+        found = [self.weigh(token) for token in set(low.split())]
+        for run in {m[0] for m in _SPACED.finditer(low)}:
+            found += self.spelled(run)
         best: dict[str, float] = {}
-        for token in tokens:
-            weight, word = self.weigh(token)
+        for weight, word in found:
             if weight > 0:
-                best[word] = weight
+                best[word] = max(weight, best.get(word, 0.0))
         return sum(sorted(best.values())[-STRONGEST:])
 
     def score(self, text: str | None) -> float:
