@@ -46,6 +46,27 @@ def test_costly_values_in_credential_context():
     assert secrets.redact(text).startswith("The password is [secret].")
 
 
+@pytest.mark.parametrize(
+    "text,value",
+    [
+        ("pwd: QzXvBhTmWlKdRtYp", "QzXvBhTmWlKdRtYp"),
+        ("DB_PASSWORD=hunter2!xQ", "hunter2!xQ"),
+        ("client_secret: a9$kQ!x2", "a9$kQ!x2"),
+        ("pin: a9$Q!x", "a9$Q!x"),
+        ("pwd: a$Q9z", "a$Q9z"),
+        ("pwd: pin: a$Q9z", "a$Q9z"),
+        ("password = \"Abcdefghijk1!9xQ#z\"", "Abcdefghijk1!9xQ#z"),
+    ],
+)
+def test_cost_alone_decides(text, value):
+    assert [text[a:b] for a, k, b in secrets.find_secrets(text) if k == "guess"] == [value]
+    assert value[-4:] not in secrets.redact(text)
+
+
+def test_guess_spans_inside_base_spans_stay_out():
+    assert [k for _, k, _ in secrets.find_secrets("token = abcdefghijkl9Zq7")] == ["assign"]
+
+
 def test_digest_columns(spark):
     docs = [(1, f"token = abcdefghijkl {KEY}"), (2, None), (2, None)]
     rows = secrets.digest(secrets.scan(spark.createDataFrame(docs, "doc_id long, text string"))).collect()

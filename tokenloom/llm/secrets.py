@@ -20,10 +20,11 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_LENGTH = 12
 KINDS = ("assign", "access", "hex", "guess")
 
-# Credential context: a credential word, a sign or "is", and a value.
+# Credential context: a word that ends in a credential word, a sign or "is", and a value; the value isn't used up, as
+# it may hold the next credential word.
 CONTEXT = re.compile(
-    r"\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[_ -]?key|credentials?|login|auth)\b[\"']?"
-    r"\s*(?:is\b|[:=]|->)\s*[\"'`]?([^\s\"'`,;]{6,})",
+    r"(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api[_ -]?key|credentials?|login|auth)\b[\"']?"
+    r"\s*(?:is\b|[:=]|->)\s*[\"'`]?(?=([^\s\"'`,;]+))",
     re.ASCII | re.IGNORECASE,
 )
 MIN_GUESSES = 8.0  # log10 of the guesses from which a value counts as a secret
@@ -83,7 +84,7 @@ def guess_cost(value: str) -> float:
 def find_secrets(text: str | None) -> list[tuple[int, str, int]]:
     """``(start, kind, end)`` of all secrets in code points, by start and then kind.
 
-    Matches of one kind never overlap; a value by its cost is left out where a base match lies.
+    Matches of one kind never overlap; a value by its cost is left out if another match holds it whole.
     """
     if not text:
         return []
@@ -91,12 +92,10 @@ def find_secrets(text: str | None) -> list[tuple[int, str, int]]:
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    base = list(found)
     for m in CONTEXT.finditer(text):
-        value, (start, end) = m[1].rstrip(".!?)>"), m.span(1)
+        value, start = m[1].rstrip(".!?)>"), m.start(1)
         end = start + len(value)
-        kinds = any(c.isalpha() for c in value) + any(c.isdigit() for c in value) + any(not c.isalnum() for c in value)
-        if kinds < 2 or any(a < end and start < b for a, _, b in base):
+        if any(a <= start and end <= b for a, _, b in found):
             continue
         if guess_cost(value) >= MIN_GUESSES:
             found.append((start, 3, end))
