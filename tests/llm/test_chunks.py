@@ -69,6 +69,18 @@ def test_equals_plain_dedup(spark):
     assert got[1][1] == 0 and got[2][1] > 300 and got[3][1] == 0 and got[100][1] > 300
 
 
+def test_short_copies_and_runs_of_a_mean_chunk_go(spark):
+    """Whole texts of any length, and what is left of a passage after its outer chunks are lost."""
+    shared = bytes(random_bytes(95, 31)).decode()
+    ends = [0, *chunks.cuts(np.frombuffer(shared.encode(), np.uint8)).tolist()]
+    assert 96 > ends[-2] >= chunks.MIN_RUN
+    rows = [(1, "tiny"), (2, "tiny"), (3, shared[: ends[-2]] + bytes(random_bytes(300, 32)).decode())]
+    rows += [(4, shared[: ends[-2]] + bytes(random_bytes(300, 33)).decode())]
+    frame = spark.createDataFrame([row(i, t) for i, t in rows], SCHEMA)
+    got = {r.doc_id: r.n_removed for r in chunks.dedup(frame).collect()}
+    assert got == {1: 0, 2: 4, 3: 0, 4: ends[-2]}
+
+
 def test_odd_rows(odd, nothing):
     got = chunks.dedup(odd).collect()
     assert len(got) == odd.count()

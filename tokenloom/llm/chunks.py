@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenloom.llm.common import stored
 
 LEAST, MASK_BITS, MOST = 24, 5, 256  # bytes of a chunk: at least, 2**bits more on average, at most
-MIN_RUN = 96  # bytes of repeated chunks in a row that are worth removing
+MIN_RUN = LEAST + (1 << MASK_BITS)  # bytes of repeated chunks in a row that go: a mean chunk; a whole text always goes
 _GEAR = np.random.default_rng(5).integers(0, 2**32, 256, dtype=np.uint32)
 _MASK = np.uint32(((1 << MASK_BITS) - 1) << (32 - MASK_BITS))
 
@@ -104,7 +104,7 @@ def without_spans(docs: DataFrame, spans: DataFrame, least: int = 0) -> DataFram
     """Cut byte spans out of texts: ``doc_id, n_bytes, n_removed, n_spans, kept`` (binary) for every row.
 
     ``spans`` are rows ``_doc, _text, start, end`` of bytes; touching ones are joined first, and joined
-    ones under ``least`` bytes stay in the text.
+    ones under ``least`` bytes stay in the text, unless they are all of it.
     """
 
     def join_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +120,7 @@ def without_spans(docs: DataFrame, spans: DataFrame, least: int = 0) -> DataFram
                     else:
                         runs.append([a, b])
                 for a, b in runs:
-                    if b - a >= least:
+                    if b - a >= least or b - a == len(data):
                         out.append(data[at:a])
                         at, cut, number = b, cut + b - a, number + 1
                 out.append(data[at:])
@@ -144,7 +144,7 @@ def dedup(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     """Texts without chunks that stand earlier: ``doc_id, n_bytes, n_removed, n_spans, kept``.
 
     The first place of a chunk, by ``doc_id`` (null last), text hash and position, stays; later ones go
-    if they make up ``min_run`` bytes in a row. Null texts count as empty; rows with the same id and text share
+    if they make up ``min_run`` bytes in a row or the whole text. Null texts count as empty; rows with the same id and text share
     their result; extra columns are ignored.
     """
     return without_spans(docs, repeated_spans(docs), min_run)
