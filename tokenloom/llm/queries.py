@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import chunks, jaccard, langid, mixing, packing, quality, secrets, suffixes, topk, toxicity
+from tokenloom.llm import chunks, jaccard, langid, middle, mixing, packing, quality, secrets, suffixes, topk, toxicity
 from tokenloom.llm.common import crc32_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,8 @@ def mixed(spark: SparkSession, d: str) -> DataFrame:
 @query("op10_suffix_dedup")
 def suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
     return chunks.digest(suffixes.dedup(table(spark, d, "documents")))
+
+
+@query("op13_fill_in_middle", middle.SQL)
+def infilled(spark: SparkSession, d: str) -> DataFrame:
+    return middle.digest(middle.fill_in_middle(table(spark, d, "documents")))
