@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import chunks, jaccard, langid, middle, mixing, packing, quality, secrets, suffixes, topk, toxicity
+from tokenloom.llm import (
+    chunks,
+    jaccard,
+    langid,
+    middle,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    shards,
+    suffixes,
+    topk,
+    toxicity,
+)
 from tokenloom.llm.common import crc32_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +100,11 @@ def suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
     return chunks.digest(suffixes.dedup(table(spark, d, "documents")))
 
 
+@query("op12_kd_sharding")
+def sharded(spark: SparkSession, d: str) -> DataFrame:
+    return shards.digest(shards.shard(table(spark, d, "documents"), shards.SHARDS))
+
+
 @query("op13_fill_in_middle", middle.SQL)
 def infilled(spark: SparkSession, d: str) -> DataFrame:
     return middle.digest(middle.fill_in_middle(table(spark, d, "documents")))
