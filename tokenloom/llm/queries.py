@@ -19,6 +19,7 @@ from tokenloom.llm import (
     suffixes,
     topk,
     toxicity,
+    tries,
 )
 from tokenloom.llm.common import crc32_bucket, table
 
@@ -100,6 +101,11 @@ def suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
     return chunks.digest(suffixes.dedup(table(spark, d, "documents")))
 
 
+@query("op11_prefix_trie", tries.SQL)
+def trie(spark: SparkSession, d: str) -> DataFrame:
+    return tries.prefix_trie(table(spark, d, "conversations"))
+
+
 @query("op12_kd_sharding")
 def sharded(spark: SparkSession, d: str) -> DataFrame:
     return shards.digest(shards.shard(table(spark, d, "documents"), shards.SHARDS))
