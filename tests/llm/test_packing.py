@@ -73,6 +73,27 @@ def test_every_id_has_one_place(spark, group_pieces):
         assert used / (1024 * len(sequences)) > 0.97
 
 
+def test_ids_meet_their_piece_again(spark):
+    docs = spark.createDataFrame([(i % 7, " ".join(f"w{j}" for j in range(i * 37))) for i in range(60)] + [(3, "copy")] * 50, "doc_id long, text string")
+    with_ids = packing.pack(packing.token_pieces(docs, tokenizer_path()), group_pieces=11).collect()
+    without = packing.pack(packing.token_pieces(docs, tokenizer_path(), False), group_pieces=11).collect()
+    assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 and len(r.ids) == r.length for r in with_ids)
+    assert sorted(r[:5] for r in with_ids) == sorted(r[:5] for r in without)
+    assert len({(r.sequence_id, r.offset) for r in with_ids}) == len(with_ids) == len(without)
+
+
+def test_repeated_rows_go_to_many_groups(spark):
+    docs = spark.createDataFrame([(1, "the same text")] * 400, "doc_id long, text string")
+    packed = packing.pack(packing.token_pieces(docs, tokenizer_path(), False), group_pieces=20).collect()
+    assert len({r.sequence_id >> 33 for r in packed}) > 10
+
+
 def test_odd_rows(odd, nothing):
-    assert packing.pack_documents(odd, tokenizer_path()).count() >= odd.count()
+    encoder = packing.WordEncoder(tokenizer_path())
+    want = sorted(len(encoder.encode(r.text)) // 4 + 1 for r in odd.collect())
+    packed = packing.pack_documents(odd, tokenizer_path()).collect()
+    assert sorted(r.doc_tokens for r in packed if r.start == 0) == want
+    assert sum(r.length for r in packed) == sum(want) and all(len(r.ids) == r.length for r in packed)
+    for doc in (2, 3, 8, 9, None):
+        assert any(r.doc_id == doc for r in packed)
     assert packing.pack_documents(nothing, tokenizer_path()).count() == 0

@@ -102,7 +102,9 @@ class WordEncoder:
         return self.line_end.join(rows)
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, with_ids: bool = True) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, tokenizer_path: str, with_ids: bool = True, cache_words: int = CACHE_WORDS
+) -> DataFrame:
     """Cut each document's ids, with ``END_ID`` at the end, into pieces of at most ``LENGTH``.
 
     Returns ``doc_id, start, length, ids_crc32, doc_tokens`` and, if asked for, ``ids``
@@ -111,7 +113,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, with_ids: bool = True) ->
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = WordEncoder(tokenizer_path, cache_words)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
@@ -175,38 +177,44 @@ def first_fit_decreasing(sizes: np.ndarray, room: int) -> tuple[np.ndarray, np.n
 def pack(pieces: DataFrame, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces of at most ``LENGTH`` tokens.
 
-    Pieces go to random groups by a hash of ``doc_id`` and ``start``; the number of groups follows the
-    number of pieces, so a group stays small, and each is packed on its own. A sequence lies
-    in one group: its id is the group's number and the bin's number in it. ``pieces`` should be
-    stored, as it is read twice.
+    Pieces are stored with a number each and go to random groups by a hash of it; the number of groups follows the
+    number of pieces, so a group stays small whatever repeats, and each is packed on its own, without the ``ids``: they meet
+    their place afterwards, in a join by number. A sequence lies in one group: its id is the group's number and the bin's number in it.
     """
-    groups = max(1, -(-pieces.filter(F.col("length") < LENGTH).count() // group_pieces))
-    full = pieces.filter(F.col("length") >= LENGTH)
-    rest = pieces.filter(F.col("length") < LENGTH)
+    columns = pieces.columns
+    kept = stored(pieces.withColumn("_piece", F.monotonically_increasing_id()), "token-pieces")
+    rest = kept.filter(F.col("length") < LENGTH)
+    groups = max(1, -(-rest.count() // group_pieces))
+    light = rest.drop("ids")
     placed_fields = [T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
-    schema = T.StructType([*pieces.schema.fields, *placed_fields])
+    schema = T.StructType([*light.schema.fields, *placed_fields])
 
     def place(group: pa.Table) -> pa.Table:
         # The order of rows in a group may differ between attempts; this one does not.
-        group = group.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending"), ("length", "ascending")])
+        group = group.sort_by("_piece")
         bins, offsets = first_fit_decreasing(group["length"].to_numpy(), LENGTH)
         number = group["_group"].to_numpy().astype(np.int64)
         out = group.drop_columns(["_group"])
         ids = ((number << 32) | bins) << 1
         return out.append_column("sequence_id", pa.array(ids)).append_column("offset", pa.array(offsets))
 
-    number = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups))
-    placed = rest.withColumn("_group", number.cast("int")).groupBy("_group").applyInArrow(place, schema)
+    number = F.pmod(F.xxhash64("_piece"), F.lit(groups))
+    placed = light.withColumn("_group", number.cast("int")).groupBy("_group").applyInArrow(place, schema)
+    if "ids" in columns:
+        placed = placed.join(rest.select("_piece", "ids"), "_piece")
     # A full piece is a sequence of its own; odd numbers never meet those of the groups.
-    own = F.shiftleft(F.monotonically_increasing_id(), 1) + 1
-    alone = full.select("*", own.alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
-    return placed.unionByName(alone)
+    own = F.shiftleft("_piece", 1) + 1
+    alone = kept.filter(F.col("length") >= LENGTH).select("*", own.alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
+    return placed.unionByName(alone).select(*columns, "sequence_id", "offset")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, with_ids: bool = True) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer_path: str, with_ids: bool = True, cache_words: int = CACHE_WORDS
+) -> DataFrame:
     """Pieces of all documents with their place: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset`` and ``ids`` if asked for.
 
-    Repeated rows are packed each; extra columns are ignored; no documents give no rows.
+    Null texts count as empty; repeated rows are packed each; extra columns are ignored; no documents give no rows.
+    Each task keeps the ids of at most ``cache_words`` words, about 200 bytes each; the others are worked out anew.
     """
-    return pack(stored(token_pieces(docs, tokenizer_path, with_ids), "token-pieces"))
+    return pack(token_pieces(docs, tokenizer_path, with_ids, cache_words))
