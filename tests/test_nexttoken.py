@@ -2,6 +2,8 @@ import math
 import random
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tokenloom.operators import nexttoken, windows
 
 
@@ -46,6 +48,8 @@ def test_generation_equals_a_loop(spark):
     ids = stream()
     counts = nexttoken.ngram_counts(made(spark, ids)).cache()
     table, top = nexttoken.best_next(counts).cache(), nexttoken.last_resort(counts)
+    followers, buckets = nexttoken.bucketed(table, table.count(), bucket_rows=20)
+    assert buckets > 5 and followers.count() == table.count()
     best = python_best(ids)
     prompts = [(0, ids[:6]), (1, ids[:6]), (2, [1, 2, 88]), (3, [4])]
     want = {}
@@ -56,8 +60,23 @@ def test_generation_equals_a_loop(spark):
             context.append(out[-1])
         want[number] = out
     df = spark.createDataFrame(prompts, "prompt_id bigint, context array<bigint>")
-    got = nexttoken.generate(df, table, top, 6, cut_every=2).collect()
-    assert {r.prompt_id: r.generated for r in got} == want
+    for few in (0, 1000):
+        got = nexttoken.generate(df, followers, buckets, top, 6, few=few).collect()
+        assert {r.prompt_id: r.generated for r in got} == want
+
+
+def test_a_step_opens_only_the_buckets_asked_for(spark):
+    table = spark.range(4000).selectExpr("array(id) AS context", "1 AS n", "id + 1 AS next_id")
+    followers, buckets = nexttoken.bucketed(table, 4000, bucket_rows=100)
+    assert buckets == 40
+    numbers = table.filter("next_id IN (8, 9)").select(nexttoken.bucket_of("context", buckets).alias("b")).collect()
+    opened = followers.filter(F.col("_bucket").isin([r.b for r in numbers]))
+    plan = opened._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan or "PartitionFilters: [_bucket" in plan
+    assert len(opened.inputFiles()) <= 40 and len({r._bucket for r in opened.select("_bucket").distinct().collect()}) <= 2
+    top = spark.createDataFrame([(-1,)], "next_id bigint")
+    prompts = spark.createDataFrame([(5, [7])], "prompt_id bigint, context array<bigint>")
+    assert nexttoken.generate(prompts, followers, buckets, top, 20).first().generated == list(range(8, 28))
 
 
 def test_loss_and_batch_means(spark):
@@ -99,18 +118,61 @@ def test_hot_join_loses_and_repeats_nothing(spark):
     table = rows.groupBy("k").count().filter("k <> 9").selectExpr("k", "k * 10 AS v", "count AS uses")
     want = sorted((r.i, r.k, r.k * 10) for r in rows.collect() if r.k != 9)
     for limit in (0, 1, 5, 1000):
-        got = hot_join(rows, table, ["k"], "uses", limit).select("i", "k", "v").collect()
+        got = hot_join(rows, table, ["k"], "uses", share=limit).select("i", "k", "v").collect()
         assert sorted(map(tuple, got)) == want
 
 
+def test_group_means_equal_example_losses(spark):
+    rows = made(spark, stream(300)).cache()
+    got = {r.chunk_id: (r.examples, r.cross_entropy) for r in nexttoken.group_losses(rows, "chunk_id").collect()}
+    want = {}
+    for r in nexttoken.example_losses(rows).collect():
+        want.setdefault(r.chunk_id, []).append(r.loss)
+    assert got.keys() == want.keys()
+    for chunk, losses in want.items():
+        assert got[chunk][0] == len(losses) and abs(got[chunk][1] - sum(losses) / len(losses)) < 1e-9
+
+
+def test_a_frequent_key_is_dealt_to_its_parts(spark):
+    from tokenloom.operators.skew import frequent, spread_join
+
+    rows = spark.range(9000).selectExpr("id AS i", "IF(id % 3 = 0, id, 7) AS k")
+    counts = rows.groupBy("k").count()
+    hot = frequent(counts, ["k"], "count", share=30)
+    assert [r._parts for r in hot.collect()] == [20]
+    table = counts.selectExpr("k", "k * 2 AS v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spread_join(rows, table, ["k"], hot=hot)
+        assert "_salt" not in joined.columns and joined.filter("v = 2 * k").count() == 9000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Range (0, 9000") == plan.count("Range (0, 9000, step=1") and "_salt" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_are_planned_once(spark, tmp_path):
+    """A text table that is encoded is scanned once, whatever its keys."""
+    from tokenloom.operators import encoding, vocabulary
+
+    path = str(tmp_path / "texts")
+    spark.createDataFrame([(i, f"le {i} le") for i in range(50)], "doc_id bigint, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    starts = vocabulary.stream_starts(docs).checkpoint()
+    vocab = vocabulary.build(docs, starts=starts).checkpoint()
+    for frame in (vocabulary.encode_known(vocabulary.tokenize(docs), vocab), encoding.encode_stream(docs, vocab, counted=True, starts=starts), vocabulary.unknown(vocabulary.tokenize(docs), vocab)):
+        assert frame._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
+
+
 def test_split_join_keeps_or_drops_what_the_table_lacks(spark):
-    from tokenloom.operators.skew import frequent, key_counts, split_join
+    from tokenloom.operators.skew import frequent, spread_join
 
     rows = spark.createDataFrame([(i, i % 7 if i % 2 else 0) for i in range(400)], "i bigint, k bigint")
     table = spark.createDataFrame([(0, "a"), (3, "b")], "k bigint, v string")
     for share in (0, 3, 1000):
-        hot = frequent(key_counts(rows, ["k"]), ["k"], "_n", share)
-        left = split_join(rows, table, ["k"], hot, "left").select("i", "k", "v").collect()
+        hot = frequent(rows.groupBy("k").agg(F.count("*").alias("_n")), ["k"], "_n", share) if share else None
+        left = spread_join(rows, table, ["k"], "left", hot).select("i", "k", "v").collect()
         assert sorted((r.i, r.k, r.v or "") for r in left) == sorted((r.i, r.k, {0: "a", 3: "b"}.get(r.k, "")) for r in rows.collect())
-        anti = split_join(rows, table.select("k"), ["k"], hot, "left_anti").collect()
+        anti = spread_join(rows, table.select("k"), ["k"], "left_anti", hot).collect()
         assert sorted(r.i for r in anti) == sorted(r.i for r in rows.collect() if r.k not in (0, 3))

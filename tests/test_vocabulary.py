@@ -3,6 +3,7 @@ import random
 import pytest
 
 from tokenloom.operators import encoding, vocabulary
+from tokenloom.operators.skew import frequent
 
 
 def docs(spark, texts):
@@ -52,11 +53,30 @@ def test_skewed_stream_equals_python(spark):
     vocab = vocabulary.build(df).cache()
     assert as_dict(vocab) == want
     stream = [want[t] for text in texts for t in text.split()]
-    for hot in (0, 1, 50, 10_000):
-        ids = encoding.encode_stream(df, vocab).collect() if hot == 10_000 else None
-        known = vocabulary.encode_known(vocabulary.tokenize(df), vocab, share=hot)
+    for share in (0, 1, 50, 10_000):
+        hot = frequent(vocab, ["token"], "n", share) if share else None
+        known = vocabulary.encode_known(vocabulary.tokenize(df), vocab, hot)
         assert [r.id for r in known.orderBy("doc_id", "pos").collect()] == stream
-    assert [(r.gpos, r.id) for r in sorted(ids, key=lambda r: r.gpos)] == list(enumerate(stream))
+    for counted in (False, True):
+        ids = encoding.encode_stream(df, vocab, counted=counted).collect()
+        assert [(r.gpos, r.id) for r in sorted(ids, key=lambda r: r.gpos)] == list(enumerate(stream))
+
+
+@pytest.mark.parametrize("ids", [[3, 4, 4], [1, None]])
+def test_texts_without_an_order_of_their_own_fail(spark, ids):
+    df = spark.createDataFrame([(i, "a b") for i in ids], "doc_id bigint, text string")
+    with pytest.raises(Exception, match="order key doc_id"):
+        vocabulary.build(df).collect()
+    with pytest.raises(Exception, match="order key doc_id"):
+        encoding.encode_stream(df, vocabulary.build(docs(spark, ["a b"]))).collect()
+
+
+def test_random_ids_order_the_stream(spark):
+    rng = random.Random(8)
+    ids = sorted(rng.getrandbits(63) - 2**62 for _ in range(40))
+    texts = [f"w{rng.randint(0, 30)} w{rng.randint(0, 30)}" for _ in ids]
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id bigint, text string").repartition(7)
+    assert as_dict(vocabulary.build(df)) == python_vocab(texts)
 
 
 def test_encode_drops_unknown_and_roundtrip(spark):
@@ -69,9 +89,8 @@ def test_encode_drops_unknown_and_roundtrip(spark):
 
 def test_unknown_tokens_keep_every_occurrence(spark):
     vocab = vocabulary.build(docs(spark, ["a b"]))
-    for hot in (0, 1, 9):
-        rows = vocabulary.unknown(vocabulary.tokenize(docs(spark, ["a x b x", "c"])), vocab, hot)
-        assert sorted((r.doc_id, r.pos, r.token) for r in rows.collect()) == [(0, 1, "x"), (0, 3, "x"), (1, 0, "c")]
+    rows = vocabulary.unknown(vocabulary.tokenize(docs(spark, ["a x b x", "c"])), vocab)
+    assert sorted((r.doc_id, r.pos, r.token) for r in rows.collect()) == [(0, 1, "x"), (0, 3, "x"), (1, 0, "c")]
 
 
 def test_next_id_of_empty_and_full(spark):

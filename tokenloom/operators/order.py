@@ -1,31 +1,39 @@
 """Global order without a global sort task.
 
 ``Window.orderBy`` alone sends every row to one task. Here the bigint key is cut into
-buckets of ``2**bits`` keys; each bucket is summed on its own, and the few bucket totals go
-through the same step again. Keys are unique, so no bucket holds more than ``2**bits`` rows
+buckets of ``2**bits`` keys; each bucket is summed on its own, and the bucket totals go
+through the same step again, until few are left. Keys are unique, so no bucket holds more than ``2**bits`` rows
 however the data is skewed, and the cut depends on values only, so a retried task gives the
 same answer.
+
+A level only looks at the next ``bits`` bits of its keys, so it doesn't matter whether keys are dense or hashes spread
+over all 64 bits: with three levels of 16 bits above the rows, each step, the last one too, meets at most 65,536
+rows in a task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BITS = 16
-LEVELS = 2
+KEY_BITS = 64  # of any bigint
+
+
+def levels_for(bits: int = BITS, key_bits: int = KEY_BITS) -> int:
+    """How many levels leave at most ``2**bits`` totals of keys below ``2**key_bits``."""
+    return max(1, -(-key_bits // bits) - 1)
 
 
 def exclusive_sum(
-    df: DataFrame, key: str, value: str, out: str = "before", bits: int = BITS, levels: int = LEVELS
+    df: DataFrame, key: str, value: str, out: str = "before", bits: int = BITS, key_bits: int = KEY_BITS
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all rows with a smaller ``key``.
 
-    ``key`` must be a unique bigint. The last level runs in one task over
-    ``key range / 2**(bits * levels)`` rows: 250 rows for a trillion dense keys. Raise
-    ``levels`` for sparse keys such as hashes.
+    ``key`` must be a bigint that no two rows share: the job fails, naming it, on one that repeats, and on a null, because
+    such rows have no order. Keys known to be below ``2**key_bits`` and not negative need fewer levels.
     """
-    return _sum_level(df, key, value, out, bits, 1, levels)
+    return _sum_level(df, key, value, out, bits, 1, levels_for(bits, key_bits))
 
 
 def _sum_level(
@@ -39,22 +47,34 @@ def _sum_level(
     last, total = f"_last{level}", f"_total{level}"
     # The coalesce marks the bucket as never null, and max(key) orders the totals one level up;
     # both keep the two branches below alike, so Spark runs the one exchange once.
-    number = F.coalesce(F.shiftright(F.col(key), bits * level), F.lit(0).cast("bigint"))
-    cut = df.withColumn(bucket, number).repartition(bucket)
+    number = F.shiftright(F.col(key), bits * level)
+    if level == 1:
+        number = F.when(F.col(key).isNull(), _fail(F.lit(f"order key {key} is null"))).otherwise(number)
+    cut = df.withColumn(bucket, F.coalesce(number, F.lit(0).cast("bigint"))).repartition(bucket)
     totals = cut.groupBy(bucket).agg(F.max(key).alias(last), F.sum(value).alias(total))
     offsets = _sum_level(totals, last, total, offset, bits, level + 1, levels)
-    local = F.sum(value).over(before.partitionBy(bucket).orderBy(key))
+    ordered = Window.partitionBy(bucket).orderBy(key)
+    local = F.coalesce(F.sum(value).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if level == 1:  # equal keys share a bucket and stand next to each other
+        again = F.concat(F.lit(f"order key {key} repeats: "), F.col(key).cast("string"))
+        local = F.when(F.lag(key).over(ordered) == F.col(key), _fail(again)).otherwise(local)
     return (
-        cut.withColumn(inside, F.coalesce(local, F.lit(0)))
+        cut.withColumn(inside, local)
         .join(offsets.select(bucket, offset), bucket)
         .withColumn(out, F.col(inside) + F.col(offset))
         .drop(bucket, inside, offset)
     )
 
 
-def dense_index(df: DataFrame, key: str, out: str = "index", bits: int = BITS) -> DataFrame:
+def _fail(message: Column) -> Column:
+    return F.raise_error(message).cast("bigint")
+
+
+def dense_index(
+    df: DataFrame, key: str, out: str = "index", bits: int = BITS, key_bits: int = KEY_BITS
+) -> DataFrame:
     """Number the rows 0, 1, 2, ... in the order of the unique bigint ``key``."""
-    counted = exclusive_sum(df.withColumn("_one", F.lit(1).cast("bigint")), key, "_one", out, bits)
+    counted = exclusive_sum(df.withColumn("_one", F.lit(1).cast("bigint")), key, "_one", out, bits, key_bits)
     return counted.drop("_one")
 
 

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import compress_id, split_ws
 from tokenloom.operators.order import dense_index, token_starts
-from tokenloom.operators.skew import SHARE, frequent, key_counts, split_join
-from tokenloom.session import materialize
+from tokenloom.operators.skew import spread_join
+
 
 def tokenize(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per whitespace token."""
@@ -39,17 +39,20 @@ def placed_first(seen: DataFrame, starts: DataFrame) -> DataFrame:
 
 
 def _by_first_use(seen: DataFrame, starts: DataFrame) -> DataFrame:
-    return dense_index(placed_first(seen, starts), "gpos")
+    return dense_index(placed_first(seen, starts), "gpos", key_bits=48)
 
 
-def build(docs: DataFrame, start: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
+def build(
+    docs: DataFrame, start: int = 0, key: str = "doc_id", text: str = "text", starts: DataFrame | None = None
+) -> DataFrame:
     """Vocabulary of ``docs``; ids count up from ``start`` in order of first use.
 
-    One pass groups the tokens (no text is shuffled), one counts tokens per text. The order
-    key of a distinct token is its place in the whole stream, so one huge text cannot make
+    One pass groups the tokens (no text is shuffled), one counts tokens per text, unless the ``starts`` that it
+    gives are known. The order key of a distinct token is its place in the whole stream, so one huge text cannot make
     one huge sort.
     """
-    ranked = _by_first_use(first_seen(tokenize(docs, key, text)), stream_starts(docs, key, text))
+    starts = stream_starts(docs, key, text) if starts is None else starts
+    ranked = _by_first_use(first_seen(tokenize(docs, key, text)), starts)
     return ranked.select("token", (F.col("index") + F.lit(start).cast("bigint")).alias("id"), "n")
 
 
@@ -82,24 +85,18 @@ def used_entries(vocab: DataFrame, tokens: DataFrame) -> DataFrame:
     return vocab.join(tokens.select("token").distinct(), "token", "left_semi")
 
 
-def hot_tokens(tokens: DataFrame, share: int = SHARE) -> DataFrame:
-    """The frequent tokens of a token table, counted in the very rows that are to be joined."""
-    return materialize(frequent(key_counts(tokens.select("token"), ["token"]), ["token"], "_n", share))
-
-
-def encode_known(tokens: DataFrame, vocab: DataFrame, share: int = SHARE, hot: DataFrame | None = None) -> DataFrame:
+def encode_known(tokens: DataFrame, vocab: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Replace tokens by ids and drop unknown ones; all other columns stay.
 
-    Frequent tokens, known or not, are settled against a broadcast table and never shuffled, so a word that
-    makes up a third of the stream costs nothing extra. ``hot`` names them if they are known already.
+    The tokens are read once. ``hot`` names the frequent ones and their parts if somebody has counted them (see
+    ``skew.frequent``).
     """
-    hot = hot_tokens(tokens, share) if hot is None else hot
-    return split_join(tokens, vocab.select("token", "id"), ["token"], hot).drop("token")
+    return spread_join(tokens, vocab.select("token", "id"), ["token"], hot=hot).drop("token")
 
 
-def unknown(tokens: DataFrame, vocab: DataFrame, share: int = SHARE) -> DataFrame:
-    """Token rows outside the vocabulary; frequent tokens are settled before the shuffle."""
-    return split_join(tokens, vocab.select("token"), ["token"], hot_tokens(tokens, share), "left_anti")
+def unknown(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Token rows outside the vocabulary."""
+    return spread_join(tokens, vocab.select("token"), ["token"], "left_anti")
 
 
 def duplicates(entries: DataFrame) -> DataFrame:

@@ -86,7 +86,7 @@ def progress(ids: DataFrame, first_uses: DataFrame, every: int) -> DataFrame:
     read = ids.groupBy(block).agg(F.count("*").alias("_tokens"))
     new = first_uses.groupBy(block).agg(F.count("*").alias("_new"))
     rows = read.join(new, "block", "left").fillna(0, ["_new"])
-    rows = exclusive_sum(exclusive_sum(rows, "block", "_tokens", "_t0"), "block", "_new", "_n0")
+    rows = exclusive_sum(exclusive_sum(rows, "block", "_tokens", "_t0", key_bits=48), "block", "_new", "_n0", key_bits=48)
     return rows.select(
         "block",
         (F.col("_t0") + F.col("_tokens")).alias("tokens"),

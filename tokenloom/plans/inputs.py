@@ -52,15 +52,24 @@ def web_corpus(docs: DataFrame) -> DataFrame:
     return cleaned.filter(is_long_enough("text"))
 
 
-def vocab_of(docs: DataFrame, start: int = 0) -> DataFrame:
-    return materialize(vocabulary.build(docs, start))
+def starts_of(docs: DataFrame) -> DataFrame:
+    """Stored once, for the vocabulary and the stream."""
+    return materialize(vocabulary.stream_starts(docs))
 
 
-def stream_of(docs: DataFrame, vocab: DataFrame | None = None) -> DataFrame:
-    """The materialized ID stream of ``docs``."""
-    if vocab is None:
-        return materialize(encoding.encode_stream(docs, vocab_of(docs), counted=True))
-    return materialize(encoding.encode_stream(docs, vocab))
+def vocab_of(docs: DataFrame, start: int = 0, starts: DataFrame | None = None) -> DataFrame:
+    return materialize(vocabulary.build(docs, start, starts=starts))
+
+
+def own_stream(docs: DataFrame, vocab: DataFrame | None = None, starts: DataFrame | None = None) -> DataFrame:
+    """The ID stream of ``docs``, whose own vocabulary ``vocab`` is."""
+    starts = starts_of(docs) if starts is None else starts
+    vocab = vocab_of(docs, starts=starts) if vocab is None else vocab
+    return encoding.encode_stream(docs, vocab, counted=True, starts=starts)
+
+
+def stream_of(docs: DataFrame, vocab: DataFrame | None = None, starts: DataFrame | None = None) -> DataFrame:
+    return materialize(own_stream(docs, vocab, starts))
 
 
 def lexicon(spark: SparkSession, folder: str) -> DataFrame:

@@ -108,7 +108,7 @@ def scan_tokens(spark: SparkSession, d: str) -> DataFrame:
 def scan_ids(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "ids")
     docs = I.documents(spark, d)
-    stream = encoding.encode_stream(docs, I.vocab_of(docs))
+    stream = I.own_stream(docs)
     sinks.write_lines(encoding.id_lines(stream, ID_BATCH), path, "ids", "line")
     return readers.read_ids(spark, path, 10_000).withColumnRenamed("doc_id", "line")
 
@@ -149,7 +149,7 @@ FROM ids GROUP BY 1""",
 def sink_ids(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "ids")
     docs = I.documents(spark, d)
-    stream = encoding.encode_stream(docs, I.vocab_of(docs))
+    stream = I.own_stream(docs)
     sinks.write_lines(encoding.id_lines(stream, ID_BATCH), path, "ids", "line")
     return readers.read_lines(spark, path)
 

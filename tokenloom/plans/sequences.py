@@ -48,13 +48,13 @@ batched AS (
 @query("global_position", f"WITH {I.DOC_IDS} SELECT doc_id, pos, gpos, id FROM ids")
 def global_position(spark: SparkSession, d: str) -> DataFrame:
     docs = I.documents(spark, d)
-    return encoding.encode_stream(docs, I.vocab_of(docs))
+    return I.own_stream(docs)
 
 
 @query("token_budget", f"WITH {I.DOC_IDS} SELECT gpos, id FROM ids WHERE gpos < {TOKEN_LIMIT}")
 def token_budget(spark: SparkSession, d: str) -> DataFrame:
     docs = I.documents(spark, d)
-    stream = encoding.encode_stream(docs, I.vocab_of(docs))
+    stream = I.own_stream(docs)
     return windows.token_budget(stream, TOKEN_LIMIT).select("gpos", "id")
 
 
@@ -130,12 +130,9 @@ losses AS (
   FROM batched JOIN pairs USING (a1, target) JOIN after USING (a1), targets)"""
 
 
-def losses(spark: SparkSession, d: str, batched: bool) -> DataFrame:
-    rows = materialize(examples(spark, d, keep=1))
-    counts = materialize(nexttoken.ngram_counts(rows, 1))
-    if batched:
-        rows = windows.shuffle_batches(rows, I.BATCH, I.SEED)
-    return nexttoken.example_losses(rows, counts)
+def losses(spark: SparkSession, d: str) -> DataFrame:
+    rows = windows.shuffle_batches(materialize(examples(spark, d, keep=1)), I.BATCH, I.SEED)
+    return nexttoken.example_losses(rows)
 
 
 @query(
@@ -144,8 +141,8 @@ def losses(spark: SparkSession, d: str, batched: bool) -> DataFrame:
 SELECT chunk_id, count(*) AS examples, round(avg(loss), 6) AS cross_entropy FROM losses GROUP BY chunk_id""",
 )
 def cross_entropy(spark: SparkSession, d: str) -> DataFrame:
-    mean = F.round(F.avg("loss"), 6).alias("cross_entropy")
-    return losses(spark, d, False).groupBy("chunk_id").agg(F.count("*").alias("examples"), mean)
+    report = nexttoken.group_losses(examples(spark, d, keep=1), "chunk_id")
+    return report.withColumn("cross_entropy", F.round("cross_entropy", 6))
 
 
 @query(
@@ -154,7 +151,7 @@ def cross_entropy(spark: SparkSession, d: str) -> DataFrame:
 SELECT count(*) AS batches, round(coalesce(avg(l), 0), 6) AS mean_loss FROM b""",
 )
 def epoch_mean_loss(spark: SparkSession, d: str) -> DataFrame:
-    rows = nexttoken.batch_mean_loss(losses(spark, d, True))
+    rows = nexttoken.batch_mean_loss(losses(spark, d))
     return rows.withColumn("mean_loss", F.round("mean_loss", 6))
 
 
@@ -164,5 +161,5 @@ def epoch_mean_loss(spark: SparkSession, d: str) -> DataFrame:
 SELECT 1::BIGINT AS epoch, chunk_id, count(*) AS batches, round(avg(l), 6) AS mean_loss FROM b GROUP BY chunk_id""",
 )
 def epoch_report(spark: SparkSession, d: str) -> DataFrame:
-    rows = nexttoken.batch_mean_loss(losses(spark, d, True).withColumn("epoch", F.lit(1).cast("bigint")), "epoch", "chunk_id")
+    rows = nexttoken.batch_mean_loss(losses(spark, d).withColumn("epoch", F.lit(1).cast("bigint")), "epoch", "chunk_id")
     return rows.withColumn("mean_loss", F.round("mean_loss", 6))
