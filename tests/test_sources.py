@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tokenloom.operators import dialogs, runs
 from tokenloom.session import scratch_path, shared_dir
@@ -64,6 +65,55 @@ def test_tokens_and_ids(spark, folder):
     assert [r.id for r in readers.read_ids(spark, path, 10).orderBy("doc_id", "pos").collect()] == [4, 6, 7, 2]
 
 
+@pytest.fixture
+def small_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("separator", [None, " ", "\n", "\t"])
+@pytest.mark.parametrize("glue", [" ", "\n", "\t", " \n\t  \r\n", "\u2003 "])
+def test_a_line_of_many_splits_is_many_tasks(spark, folder, small_splits, glue, separator):
+    words = [f"é{i * 7919 % 1000}" for i in range(1500)]
+    text = glue + glue.join(words) + glue
+    path = folder("part-10.txt", text)
+    folder("part-9.txt", "first of all\n")
+    rows = readers.read_word_stream(spark, path, separator)
+    assert [(r.gpos, r.token) for r in rows.orderBy("gpos").collect()] == list(enumerate(("first of all " + text).split()))
+
+
+def test_one_line_is_read_by_as_many_tasks_as_it_has_splits(spark, folder, small_splits):
+    path = folder("ids.txt", " ".join(str(i) for i in range(3000)))
+    assert readers.word_separator(spark, path) == " "
+    lines = spark.read.option("lineSep", " ").text(path)
+    tasks = [r["count"] for r in lines.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) > 10 and max(tasks) < 600
+    got = readers.read_id_stream(spark, path, 1000, first=2500).orderBy("gpos").collect()
+    assert [(r.gpos, r.id) for r in got] == [(i, i % 1000) for i in range(2500)]
+
+
+@pytest.mark.parametrize("text, want", [("a b c\nd", " "), ("a\nb\nc d", "\n"), ("a\tb\tc d", "\t"), ("", "\n")])
+def test_separator_of_a_file(spark, folder, text, want):
+    assert readers.word_separator(spark, folder("x.txt", text)) == want
+
+
+def test_words_written_without_line_ends(spark, tmp_path):
+    path = scratch_path(spark, "words")
+    sinks.write_words(spark.range(1000).repartition(7), path, "id", "id")
+    import glob
+
+    text = "".join(open(f).read() for f in sorted(glob.glob(path.removeprefix("file:") + "/part-*")))
+    assert "\n" not in text and text.split() == [str(i) for i in range(1000)]
+    assert [r.id for r in readers.read_id_stream(spark, path).orderBy("gpos").collect()] == list(range(1000))
+
+
+def test_a_word_that_is_no_number_fails(spark, folder):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        readers.read_id_stream(spark, folder("ids.txt", "1 x 3")).collect()
+
+
 def test_vocab_json_roundtrip(spark):
     rows = [('a"b', 0), ("c\\d", 1), ("é,", 2), ("{", 3), ("}", 7)]
     path = scratch_path(spark, "vocab")

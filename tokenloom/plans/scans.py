@@ -90,12 +90,21 @@ def scan_lexicon(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_lexicon(spark, path).groupBy("word").agg(F.count("*").alias("n"))
 
 
+@query("scan_tokens", f"WITH {SQL_WEB}, {I.sql_tokens('wtok', 'web')} SELECT gpos, token FROM wtok")
+def scan_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """A token file without line ends."""
+    path = scratch_path(spark, "tokens")
+    words = vocabulary.tokenize(I.web_corpus(I.documents(spark, d)))
+    sinks.write_words(words, path, "token", "doc_id", "pos")
+    return readers.read_word_stream(spark, path)
+
+
 @query(
-    "scan_tokens",
+    "scan_token_lines",
     f"""WITH {SQL_WEB}, lines AS (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS line, text FROM web),
 {I.sql_tokens('wtok', 'lines', 'line')} SELECT doc_id, pos, token FROM wtok""",
 )
-def scan_tokens(spark: SparkSession, d: str) -> DataFrame:
+def scan_token_lines(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     sinks.write_lines(I.web_corpus(I.documents(spark, d)), path, "text", "doc_id")
     return readers.read_tokens(spark, path)
@@ -106,11 +115,12 @@ def scan_tokens(spark: SparkSession, d: str) -> DataFrame:
     f"WITH {I.DOC_IDS} SELECT gpos // {ID_BATCH} AS line, gpos % {ID_BATCH} AS pos, id % 10000 AS id FROM ids",
 )
 def scan_ids(spark: SparkSession, d: str) -> DataFrame:
+    """An ID file without line ends, and where in which batch each id lies."""
     path = scratch_path(spark, "ids")
     docs = I.documents(spark, d)
-    stream = I.own_stream(docs)
-    sinks.write_lines(encoding.id_lines(stream, ID_BATCH), path, "ids", "line")
-    return readers.read_ids(spark, path, 10_000).withColumnRenamed("doc_id", "line")
+    sinks.write_words(I.own_stream(docs), path, "id", "gpos")
+    ids = readers.read_id_stream(spark, path, 10_000)
+    return ids.select(F.floor(F.col("gpos") / ID_BATCH).alias("line"), (F.col("gpos") % ID_BATCH).alias("pos"), "id")
 
 
 @query("scan_vocab_json", f"WITH {I.DOC_VOCAB} SELECT token, id FROM voc")

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import compress_id, split_ws
-from tokenloom.session import SPREAD
+from tokenloom.session import SPREAD, scratch_path
 
+HEAD_BYTES = 65_536
 LABELLED = "texte string, classe string, pos_tag string"
 
 
@@ -69,16 +70,79 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
         "value",
     )
     splits = lines.groupBy("_file", "_block").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
-    # Runs of digits get a fixed width, so that text order is number order.
+    before = Window.partitionBy(F.lit(0)).orderBy(_in_order("_file"), "_block")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    offsets = splits.select("_file", "_block", offset.alias("_offset"))
+    return lines.join(offsets, ["_file", "_block"]).select((F.col("_offset") + F.col("_row")).alias("line_id"), "value")
+
+
+def _in_order(file: str) -> Column:
+    """Text by which file names sort by the numbers in them: runs of digits get a fixed width."""
     padded = F.transform(
-        F.regexp_extract_all("_file", F.lit(r"\d+|\D+"), F.lit(0)),
+        F.regexp_extract_all(file, F.lit(r"\d+|\D+"), F.lit(0)),
         lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, 40, "0")).otherwise(x),
     )
-    before = Window.partitionBy(F.lit(0)).orderBy(F.array_join(padded, ""), "_block")
+    return F.array_join(padded, "")
+
+
+def word_separator(spark: SparkSession, path: str) -> str:
+    """The character that most often parts words at the head of the first file: a blank, a line end or a tab.
+
+    Only where a file may be cut depends on it, never what is read.
+    """
+    jvm, where = spark._jvm, path
+    fs = jvm.org.apache.hadoop.fs.Path(where).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = [s for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(where)) or []]
+    files = [s.getPath() for f in found for s in (fs.listStatus(f.getPath()) if f.isDirectory() else [f])]
+    files = sorted(str(f) for f in files if not f.getName().startswith(("_", ".")))
+    if not files:
+        return "\n"
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(files[0]))
+    try:
+        head = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(jvm.org.apache.commons.io.input.BoundedInputStream(stream, HEAD_BYTES)))
+    finally:
+        stream.close()
+    return max("\n \t", key=lambda c: head.count(c.encode()))
+
+
+def read_word_stream(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
+    """``(gpos, token)``: all words of the files in name order, numbered 0, 1, 2, ... as one stream.
+
+    It equals ``text.split()`` of the files' joined text, as long as each file ends a word. A file of one line is
+    cut like any other: records end at ``separator`` (found by :func:`word_separator` if not given), so a line of 100 GB is many
+    tasks, and white space of other kinds is split inside the records.
+
+    Words are stored once, numbered as they are read; a word's place in its split is this number less that of the split's
+    first word. Only one row per split is summed up, and its sum meets the words by broadcast.
+    """
+    records = spark.read.option("lineSep", separator or word_separator(spark, path)).text(path)
+    words = records.select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.explode(split_ws("value")).alias("token"),
+    ).withColumn("_row", F.monotonically_increasing_id())
+    # Stored, as a second scan might cut the files elsewhere once executors come or go.
+    path = scratch_path(spark, "words")
+    words.write.parquet(path)
+    words = spark.read.schema(words.schema).parquet(path)
+    splits = words.groupBy("_file", "_block").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))
+    before = Window.partitionBy(F.lit(0)).orderBy(_in_order("_file"), "_block")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
     offsets = splits.select("_file", "_block", offset.alias("_offset"))
-    return lines.join(offsets, ["_file", "_block"]).select((F.col("_offset") + F.col("_row")).alias("line_id"), "value")
+    placed = words.join(offsets, ["_file", "_block"])
+    return placed.select((F.col("_offset") + F.col("_row")).alias("gpos"), "token")
+
+
+def read_id_stream(
+    spark: SparkSession, path: str, limit: int | None = None, first: int | None = None, separator: str | None = None
+) -> DataFrame:
+    """``(gpos, id)`` of ID files, the first ``first`` only if given; ids are folded into ``limit``. A word that is no number fails the job."""
+    words = read_word_stream(spark, path, separator)
+    number = F.col("token").cast("bigint")
+    ids = words.select("gpos", (compress_id(number, limit) if limit else number).alias("id"))
+    return ids.filter(F.col("gpos") < first) if first is not None else ids
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -13,6 +13,15 @@ def write_lines(df: DataFrame, path: str, value: str | Column, *order: str) -> N
     rows.select(line.alias("value")).write.text(path)
 
 
+def write_words(df: DataFrame, path: str, value: str | Column, *order: str) -> None:
+    """Words in ``order`` with a blank after each, without line ends: part files put together are one line.
+
+    No line is ever put together, so it may be longer than any task could hold.
+    """
+    word = F.col(value) if isinstance(value, str) else value
+    df.orderBy(*order).select(word.cast("string").alias("value")).write.option("lineSep", " ").text(path)
+
+
 def write_vocab_json(vocab: DataFrame, path: str) -> None:
     """One JSON object, an entry per line, in id order over the part files.
 
