@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import sentence, split_phrase
-from tokenloom.operators import classify, matching, sentences, weights
+from tokenloom.operators import classify, matching, sentences, training, weights
 from tokenloom.plans import inputs as I
 from tokenloom.plans.registry import query
 from tokenloom.session import materialize
@@ -160,6 +160,26 @@ def apply_corrections(spark: SparkSession, d: str) -> DataFrame:
     return both.groupBy("texte", "classe").agg(F.count("*").alias("n"))
 
 
+@query("self_train_refit")
+def self_train_refit(spark: SparkSession, d: str) -> DataFrame:
+    """Words of the benchmark texts that the model and the best match agree on, with the round that added each, and what
+    the last model says of all words."""
+    rows, model, _ = training.self_train(words(spark, d), I.lexicon(spark, d))
+    named = rows.select("texte", "classe", "pos_tag", "round", F.col("texte").alias("text"))
+    return model.predict(named).drop("text")
+
+
+@query("corrections_refit")
+def corrections_refit(spark: SparkSession, d: str) -> DataFrame:
+    """What models before and after the corrections say of the corrected words."""
+    lexicon = I.lexicon(spark, d)
+    wrong = lexicon.join(given_predictions(spark, d).withColumnRenamed("word", "texte"), "texte")
+    wrong = materialize(wrong.filter("classe <> predicted").select("texte", F.col("predicted").alias("classe")))
+    _, after = training.apply_corrections(lexicon.select("texte", "classe"), wrong)
+    said = training.fit_lexicon(lexicon).predict(wrong.withColumn("text", F.col("texte")), "before")
+    return after.predict(said, "after").select("texte", "classe", "before", "after")
+
+
 # Sentences ---------------------------------------------------------------------------------
 
 SLOT_CLASSES = {"pron": "fr", "verbe": "en", "article": "es", "nom": "de"}
