@@ -67,12 +67,14 @@ def missing(tokens: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def additions(
-    docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text",
+    first: int | None = None, starts: DataFrame | None = None,
 ) -> DataFrame:
-    """The rows to append to ``vocab`` so that it covers ``docs``."""
+    """The rows to append to ``vocab`` so that it covers ``docs``; ids count from ``first``, if it is known."""
     new = missing(tokenize(docs, key, text), vocab)
-    ranked = _by_first_use(new, stream_starts(docs, key, text))
-    return ranked.select("token", (F.col("index") + next_id(vocab).scalar()).alias("id"), "n")
+    ranked = _by_first_use(new, stream_starts(docs, key, text) if starts is None else starts)
+    begin = next_id(vocab).scalar() if first is None else F.lit(first).cast("bigint")
+    return ranked.select("token", (F.col("index") + begin).alias("id"), "n")
 
 
 def extend(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

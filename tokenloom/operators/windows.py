@@ -77,19 +77,21 @@ def token_budget(ids: DataFrame, limit: int) -> DataFrame:
 
 
 def progress(ids: DataFrame, first_uses: DataFrame, every: int) -> DataFrame:
-    """``(block, tokens, new_tokens, new_rate)``: running totals after each ``every`` tokens, and the
+    """``(block, tokens, new_tokens, bytes, new_rate)``: running totals after each ``every`` tokens, and the
     share of new ones in the block itself.
 
-    ``first_uses`` has the stream position ``gpos`` of every new token.
+    ``ids`` has ``gpos`` and ``bytes``, what each token takes of its text; ``first_uses`` has the stream position ``gpos`` of every new token.
     """
     block = F.floor(F.col("gpos") / every).alias("block")
-    read = ids.groupBy(block).agg(F.count("*").alias("_tokens"))
+    read = ids.groupBy(block).agg(F.count("*").alias("_tokens"), F.sum("bytes").alias("_bytes"))
     new = first_uses.groupBy(block).agg(F.count("*").alias("_new"))
     rows = read.join(new, "block", "left").fillna(0, ["_new"])
-    rows = exclusive_sum(exclusive_sum(rows, "block", "_tokens", "_t0", key_bits=48), "block", "_new", "_n0", key_bits=48)
+    for value, before in (("_tokens", "_t0"), ("_new", "_n0"), ("_bytes", "_b0")):
+        rows = exclusive_sum(rows, "block", value, before, key_bits=32)
     return rows.select(
         "block",
         (F.col("_t0") + F.col("_tokens")).alias("tokens"),
         (F.col("_n0") + F.col("_new")).alias("new_tokens"),
+        (F.col("_b0") + F.col("_bytes")).alias("bytes"),
         (F.col("_new") / F.col("_tokens")).alias("new_rate"),
     )

@@ -158,11 +158,12 @@ def new_token_count(spark: SparkSession, d: str) -> DataFrame:
 @query(
     "progress_rate",
     f"""WITH {I.DOC_IDS}, firsts AS (SELECT id, min(gpos) AS gpos FROM ids GROUP BY id),
-b AS (SELECT gpos // {PROGRESS_EVERY} AS block, count(*) AS t FROM ids GROUP BY 1),
+b AS (SELECT gpos // {PROGRESS_EVERY} AS block, count(*) AS t, sum(strlen(token) + 1) AS s FROM tok GROUP BY 1),
 f AS (SELECT gpos // {PROGRESS_EVERY} AS block, count(*) AS n FROM firsts GROUP BY 1)
 SELECT block, (sum(t) OVER (ORDER BY block))::BIGINT AS tokens,
        (sum(coalesce(n, 0)) OVER (ORDER BY block))::BIGINT AS new_tokens,
        round(sum(t) OVER (ORDER BY block) / (SELECT count(*) FROM ids), 6) AS share,
+       round(sum(s) OVER (ORDER BY block) / (SELECT sum(strlen(token) + 1) FROM tok), 6) AS byte_share,
        round(coalesce(n, 0) / t, 6) AS new_rate
 FROM b LEFT JOIN f USING (block)""",
 )
@@ -171,10 +172,17 @@ def progress_rate(spark: SparkSession, d: str) -> DataFrame:
     starts = I.materialize(vocabulary.stream_starts(docs))
     tokens = vocabulary.tokenize(docs)
     firsts = vocabulary.placed_first(vocabulary.first_seen(tokens), starts)
-    placed = encoding.with_position(tokens.select("doc_id", "pos"), starts)
-    done = windows.progress(placed, firsts, PROGRESS_EVERY)
-    share = F.round(F.col("tokens") / tokens.agg(F.count("*")).scalar(), 6)
-    return done.withColumn("share", share).withColumn("new_rate", F.round("new_rate", 6))
+    sized = tokens.select("doc_id", "pos", (F.octet_length("token") + 1).cast("bigint").alias("bytes"))
+    done = I.materialize(windows.progress(encoding.with_position(sized, starts), firsts, PROGRESS_EVERY))
+    last = done.agg(F.max("tokens").alias("t"), F.max("bytes").alias("b"))
+    return done.select(
+        "block",
+        "tokens",
+        "new_tokens",
+        F.round(F.col("tokens") / last.select("t").scalar(), 6).alias("share"),
+        F.round(F.col("bytes") / last.select("b").scalar(), 6).alias("byte_share"),
+        F.round("new_rate", 6).alias("new_rate"),
+    )
 
 
 @query(
