@@ -145,6 +145,26 @@ def test_bad_vocab_json_fails(spark, folder, text):
         readers.read_vocab_json(spark, path).collect()
 
 
+@pytest.mark.parametrize("indent", [None, 2])
+def test_vocab_object_on_one_line_is_read_by_many_tasks(spark, folder, small_splits, indent):
+    import json
+
+    words = {f'w{i}"' if i % 7 == 0 else f"a,b{{{i}}}," if i % 5 == 0 else f"\\\\{i}:é\\\\" : i for i in range(900)}
+    path = folder("v.json", json.dumps(words, indent=indent, ensure_ascii=indent is None) + "\n")
+    assert {r.token: r.id for r in readers.read_vocab_object(spark, path).collect()} == words
+
+
+@pytest.mark.parametrize("text, want", [("{}", []), (' { "a" : 1 } ', [("a", 1)]), ('{"a": 1, "a": 2}', [("a", 1), ("a", 2)])])
+def test_small_vocab_objects(spark, folder, text, want):
+    assert sorted(map(tuple, readers.read_vocab_object(spark, folder("v.json", text)).collect())) == want
+
+
+@pytest.mark.parametrize("text", ['{"a" 1}', '{"a": 1', '["a", 1]', '"a": 1}', '{"a": 1,}', '{"a": 1}, {"b": 2}', '{"a": 1,, "b": 2}', '{"a": x}'])
+def test_bad_vocab_objects_fail(spark, folder, text):
+    with pytest.raises(Exception):
+        readers.read_vocab_object(spark, folder("v.json", text)).collect()
+
+
 def test_labelled_csv_reads_text_and_missing_cells(spark, folder):
     path = folder("d.csv", "texte,classe,pos_tag\nchat,nom,\n12,nombre,num\n")
     rows = [tuple(r) for r in readers.read_labelled(spark, path).collect()]

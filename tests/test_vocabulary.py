@@ -113,6 +113,20 @@ def test_duplicates(spark):
     assert {tuple(r) for r in vocabulary.duplicates(entries).collect()} == {("token", "a", 2), ("id", "2", 2)}
 
 
+@pytest.mark.parametrize("rows, message", [([("a", 1), ("a", 2)], "token .*: a"), ([("a", 1), ("b", 1), ("c", 2)], "id .*: 1"), ([("a", None)], "id .*: null"), ([(None, 1)], "token .*: null")])
+def test_an_import_with_repeats_aborts(spark, rows, message):
+    entries = spark.createDataFrame(rows, "token string, id bigint")
+    with pytest.raises(Exception, match=message):
+        vocabulary.checked(entries).collect()
+
+
+def test_an_import_without_repeats_is_unchanged(spark):
+    rows = [(f"w{i}", i * 3) for i in range(50)]
+    entries = spark.createDataFrame([(*r, "x") for r in rows], "token string, id bigint, more string")
+    assert sorted((r.token, r.id) for r in vocabulary.checked(entries).collect()) == sorted(rows)
+    assert vocabulary.checked(entries.limit(0)).count() == 0
+
+
 def rows(spark, ids):
     return spark.createDataFrame([(0, p, i) for p, i in enumerate(ids)], "doc_id bigint, pos bigint, id bigint")
 

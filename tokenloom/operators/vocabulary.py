@@ -6,7 +6,7 @@ is how often the token was seen when it was added.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.text import compress_id, split_ws
@@ -110,6 +110,21 @@ def duplicates(entries: DataFrame) -> DataFrame:
     return repeated("token").unionByName(repeated("id"))
 
 
+def checked(entries: DataFrame) -> DataFrame:
+    """``entries`` themselves; the job fails, naming one, if a token or an id stands twice or is null.
+
+    Equal tokens meet in one shuffle and equal ids in another; an entry is held against the one before it there.
+    """
+    for name in ("token", "id"):
+        order = Window.partitionBy(name).orderBy(*[c for c in ("token", "id") if c in entries.columns])
+        again = F.lag(F.lit(1)).over(order).isNotNull()
+        value = F.coalesce(F.col(name).cast("string"), F.lit("null"))
+        bad = F.raise_error(F.concat(F.lit(f"{name} of a vocabulary stands twice or is null: "), value))
+        kind = entries.schema[name].dataType
+        entries = entries.withColumn(name, F.when(again | F.col(name).isNull(), bad.cast(kind)).otherwise(F.col(name)))
+    return entries
+
+
 def numeric_ids(entries: DataFrame, on_bad_id: str = "skip") -> DataFrame:
     """Read ``id`` as a number; rows that are none are skipped or fail the job."""
     if on_bad_id == "fail":

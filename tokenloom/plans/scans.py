@@ -127,7 +127,7 @@ def scan_ids(spark: SparkSession, d: str) -> DataFrame:
 def scan_vocab_json(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "vocab")
     sinks.write_vocab_json(I.vocab_of(I.documents(spark, d)), path)
-    return readers.read_vocab_json(spark, path)
+    return vocabulary.checked(readers.read_vocab_json(spark, path))
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Into how many parts tables of few files are dealt after reading. Set for the small files of tests
 # and of the benchmark only; unset, as on a cluster, tables stay as they are stored.
 SPREAD = "spark.tokenloom.spread"
+HASH_BYTES = "64m"
 
 
 def local_session(cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
@@ -21,6 +22,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # Joins whose smaller side has at most so many bytes a partition, as measured while shuffling, hash instead of sorting.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASH_BYTES)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

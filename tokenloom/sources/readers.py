@@ -188,6 +188,51 @@ def read_vocab_json(spark: SparkSession, path: str) -> DataFrame:
     return pairs.select("token", F.when(F.col("id").isNull(), bad.cast("bigint")).otherwise(F.col("id")).alias("id"))
 
 
+def read_vocab_object(spark: SparkSession, path: str) -> DataFrame:
+    """``(token, id)`` of one JSON object per file, laid out in any way, on a single line too, read in as many tasks as the file has splits.
+
+    Records end at commas. One that begins inside a string goes on with the entry of the record before: whether it does is told by
+    how many quotes stand before it, summed up over splits and then inside each, and so is the number of its entry. The
+    job fails on a file that isn't one whole object and on an entry that is none. Repeated keys all come through.
+    """
+    records = spark.read.option("lineSep", ",").text(path).select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), "value"
+    ).withColumn("_row", F.monotonically_increasing_id())
+    stored = scratch_path(spark, "records")
+    records.write.parquet(stored)
+    records = spark.read.schema(records.schema).parquet(stored)
+    bare = F.regexp_replace("value", r"\\(?s:.)", "")
+    records = records.withColumn("_quotes", F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit(""))))
+
+    def sums(value: str, out: str, rows: DataFrame) -> DataFrame:
+        """Add ``out``, the sum of ``value`` before each record of its file: per split first, then inside the split."""
+        before = Window.rowsBetween(Window.unboundedPreceding, -1)
+        splits = rows.groupBy("_file", "_block").agg(F.sum(value).alias("_sum"))
+        far = F.coalesce(F.sum("_sum").over(before.partitionBy("_file").orderBy("_block")), F.lit(0))
+        starts = splits.select("_file", "_block", far.alias("_far"))
+        near = F.coalesce(F.sum(value).over(before.partitionBy("_file", "_block").orderBy("_row")), F.lit(0))
+        return rows.withColumn("_near", near).join(starts, ["_file", "_block"]).withColumn(out, F.col("_near") + F.col("_far")).drop("_near", "_far")
+
+    told = sums("_quotes", "_before", records)
+    begins = (F.col("_before") % 2 == 0).cast("bigint")
+    entries = sums("_begins", "_earlier", told.withColumn("_begins", begins))
+    entries = entries.withColumn("_entry", F.col("_earlier") + F.col("_begins") - 1)
+    pieces = F.sort_array(F.collect_list(F.struct("_block", "_row", "value")))
+    whole = entries.groupBy("_file", "_entry").agg(F.array_join(F.transform(pieces, lambda p: p["value"]), ",").alias("entry"))
+    last = entries.groupBy("_file").agg(F.max("_entry").alias("_last"))
+    whole = whole.join(F.broadcast(last), "_file").withColumn("entry", F.regexp_replace("entry", r"^\s+|\s+$", ""))
+    first_one, last_one = F.col("_entry") == 0, F.col("_entry") == F.col("_last")
+    cut = F.raise_error(F.lit("not a whole vocabulary: one object is needed")).cast("string")
+    opened = F.when(~first_one, F.col("entry")).when(F.col("entry").startswith("{"), F.expr("substring(entry, 2)")).otherwise(cut)
+    whole = whole.withColumn("entry", opened)
+    closed = F.when(~last_one, F.col("entry")).when(F.col("entry").endswith("}"), F.expr("substring(entry, 1, length(entry) - 1)")).otherwise(cut)
+    whole = whole.withColumn("entry", closed).filter(~((F.col("_last") == 0) & (F.trim("entry") == "")))
+    parsed = F.from_json(F.concat(F.lit("{"), "entry", F.lit("}")), "map<string,bigint>", {"mode": "FAILFAST"})
+    pairs = whole.select("entry", F.explode_outer(parsed).alias("token", "id"))
+    bad = F.raise_error(F.concat(F.lit("not a vocabulary entry: "), "entry"))
+    return pairs.select("token", F.when(F.col("id").isNull(), bad.cast("bigint")).otherwise(F.col("id")).alias("id"))
+
+
 def enough_ids(df: DataFrame, minimum: int) -> DataFrame:
     """One row ``n``: the number of rows, counted up to ``minimum`` only."""
     return df.limit(minimum).agg(F.count("*").alias("n"))
