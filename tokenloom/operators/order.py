@@ -55,12 +55,16 @@ def _sum_level(
     offsets = _sum_level(totals, last, total, offset, bits, level + 1, levels)
     ordered = Window.partitionBy(bucket).orderBy(key)
     local = F.coalesce(F.sum(value).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    if level == 1:  # equal keys share a bucket and stand next to each other
+    if level == 1:
+        # Equal keys share a bucket and stand next to each other. A filter meets every row; a column that a later
+        # join doesn't ask for would not be worked out.
         again = F.concat(F.lit(f"order key {key} repeats: "), F.col(key).cast("string"))
-        local = F.when(F.lag(key).over(ordered) == F.col(key), _fail(again)).otherwise(local)
+        numbered = cut.select("*", local.alias(inside), (F.lag(key).over(ordered) == F.col(key)).alias("_again"))
+        numbered = numbered.filter(F.when(F.col("_again"), _fail(again).isNotNull()).otherwise(True)).drop("_again")
+    else:
+        numbered = cut.withColumn(inside, local)
     return (
-        cut.withColumn(inside, local)
-        .join(offsets.select(bucket, offset), bucket)
+        numbered.join(offsets.select(bucket, offset), bucket)
         .withColumn(out, F.col(inside) + F.col(offset))
         .drop(bucket, inside, offset)
     )

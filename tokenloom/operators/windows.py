@@ -77,21 +77,23 @@ def token_budget(ids: DataFrame, limit: int) -> DataFrame:
 
 
 def progress(ids: DataFrame, first_uses: DataFrame, every: int) -> DataFrame:
-    """``(block, tokens, new_tokens, bytes, new_rate)``: running totals after each ``every`` tokens, and the
+    """``(block, tokens, new_tokens, new_rate)``, and ``bytes`` before the rate: running totals after each ``every`` tokens, and the
     share of new ones in the block itself.
 
-    ``ids`` has ``gpos`` and ``bytes``, what each token takes of its text; ``first_uses`` has the stream position ``gpos`` of every new token.
+    ``ids`` has ``gpos`` and, if known, ``bytes``, what each token takes of its text; ``first_uses`` has the stream position ``gpos`` of every new token.
     """
     block = F.floor(F.col("gpos") / every).alias("block")
-    read = ids.groupBy(block).agg(F.count("*").alias("_tokens"), F.sum("bytes").alias("_bytes"))
+    sums = {"tokens": F.count("*"), "bytes": F.sum("bytes")}
+    sums = {n: s for n, s in sums.items() if n == "tokens" or n in ids.columns}
+    read = ids.groupBy(block).agg(*[s.alias(f"_{n}") for n, s in sums.items()])
     new = first_uses.groupBy(block).agg(F.count("*").alias("_new"))
     rows = read.join(new, "block", "left").fillna(0, ["_new"])
-    for value, before in (("_tokens", "_t0"), ("_new", "_n0"), ("_bytes", "_b0")):
-        rows = exclusive_sum(rows, "block", value, before, key_bits=32)
+    names = ["tokens", "new", *[n for n in sums if n != "tokens"]]
+    for name in names:
+        rows = exclusive_sum(rows, "block", f"_{name}", f"_{name}_before", key_bits=32)
+    total = {n: (F.col(f"_{n}_before") + F.col(f"_{n}")).alias("new_tokens" if n == "new" else n) for n in names}
     return rows.select(
         "block",
-        (F.col("_t0") + F.col("_tokens")).alias("tokens"),
-        (F.col("_n0") + F.col("_new")).alias("new_tokens"),
-        (F.col("_b0") + F.col("_bytes")).alias("bytes"),
+        *total.values(),
         (F.col("_new") / F.col("_tokens")).alias("new_rate"),
     )
