@@ -58,3 +58,14 @@ def test_every_word_is_tagged(spark, duck):
 def test_entry(spark):
     df = driver.entry(spark)
     assert df.columns == ["token", "n"] and df.count() == 20
+
+
+def test_refits_keep_the_lexicon_and_answer_every_word(spark):
+    rows = QUERIES["self_train_refit"](spark, FOLDER).collect()
+    words = {r.texte for r in rows if r.round == 0}
+    assert len(words) == sum(r.round == 0 for r in rows) and all(r.predicted for r in rows)
+    assert not words & {r.texte for r in rows if r.round > 0}
+    # A word that stands alone with its class is learnt by the model.
+    assert sum(r.predicted == r.classe for r in rows) > 0.99 * len(rows)
+    corrected = QUERIES["corrections_refit"](spark, FOLDER).collect()
+    assert corrected and all(r.before and r.after for r in corrected)
