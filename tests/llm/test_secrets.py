@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 
 import pytest
 
@@ -81,3 +82,81 @@ def test_odd_rows(odd, nothing):
     assert secrets.scan(odd).count() == odd.count()
     assert secrets.redacted(odd).columns == odd.columns and secrets.redacted(odd).count() == odd.count()
     assert secrets.scan(nothing).count() == 0 and secrets.redacted(nothing).count() == 0
+
+
+SENTENCES = [
+    "the secret is perseverance",
+    "The token is essential",
+    "the api key is documented",
+    "password: butterfly",
+    "login: mustermann",
+    "login: https://www.example.org/butterfly?page=documented",
+]
+PROSE = "Perseverance is essential and documented, says mustermann of the butterfly on https://www.example.org/page. " * 3
+
+
+def doubled_ranks(texts):
+    """Ranks by plain counting, as :func:`secrets.word_ranks` promises them."""
+    uses = {}
+    for text in texts:
+        shown = list(text)
+        base, values = secrets._patterns_and_values(text)
+        for a, b in [(a, b) for a, _, b in base] + [(a, b) for a, b, _ in values]:
+            shown[a:b] = "0" * (b - a)
+        for word in "".join(c if c.isalpha() else " " for c in "".join(shown).lower()).split():
+            if 3 <= len(word) <= 24:
+                uses[word] = uses.get(word, 0) + 1
+    steps = {w: math.floor(math.log2(n) * 8) for w, n in uses.items() if n >= 2}
+    return {w: sum(other >= s for other in steps.values()) for w, s in steps.items()}
+
+
+def test_words_of_the_corpus_are_no_secrets(spark):
+    odd_ones = ["password: gzkwpqvbnhx", "pwd: QzXvBhTmWlKdRtYp", "token is https://hooks.example.org/x7Kq9pL2dW"]
+    texts = [*SENTENCES, *odd_ones, PROSE, None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans] for r in secrets.scan(docs).collect()}
+    want = {i: [] for i in range(len(texts))}
+    want |= {6: ["gzkwpqvbnhx"], 7: ["QzXvBhTmWlKdRtYp"], 8: ["https://hooks.example.org/x7Kq9pL2dW"]}
+    assert got == want
+    shown = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert shown == {i: texts[i] for i in range(len(texts))} | {
+        6: "password: [secret]", 7: "pwd: [secret]", 8: "token is [secret]"
+    }
+
+
+def test_values_are_judged_as_one_text_at_a_time_would(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdeilmnorst") for _ in range(rng.randint(3, 9))) for _ in range(60)]
+    texts = []
+    for _ in range(120):
+        value = rng.choice(words) + rng.choice(["", "7", "-"]) + rng.choice([*words, "Xq9", "1999", "qwert", "zzzz"])
+        lead = " ".join(rng.choices(words, weights=range(60, 0, -1), k=12))
+        texts.append(f"{lead} {rng.choice(['password is', 'PIN:', 'db_token =', 'so'])} {value}. {lead}")
+    texts += [texts[0], "pwd: " + "ab" * 5000, "pwd: " + "perseverance" * 3000, "pin: " + "a" * 20000 + "xqzkvw"]
+    ranks = doubled_ranks(texts)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: [(s.start, s.kind, s.end) for s in r.spans] for r in secrets.scan(docs).collect()}
+    assert got == {i: secrets.find_secrets(t, ranks) for i, t in enumerate(texts)}
+    assert 10 < sum(map(bool, got.values())) < len(texts)
+
+
+def test_a_known_verdict_holds_for_any_words():
+    rng = random.Random(9)
+    seen = set()
+    for _ in range(300):
+        value = "".join(rng.choice("abcdefXYZ019-$") for _ in range(rng.randint(1, 14)))
+        verdict = secrets.known_verdict(value)
+        seen.add(verdict)
+        for ranks in ({}, dict.fromkeys(secrets.looked_up(value), 1)):
+            assert verdict is None or secrets.is_secret(value, ranks) == verdict
+    assert seen == {True, False, None}
+
+
+def test_clashing_columns_and_repeated_rows(spark):
+    rows = [(1, "pwd: a$Q9z", "r", 7, 7, 10), (1, "pwd: a$Q9z", "r", 7, 7, 10), (None, None, None, None, None, None)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, `row` string, `a b.c` int, spans int, n_chars int"
+    )
+    got = sorted(map(tuple, secrets.redacted(docs).collect()), key=str)
+    assert got == sorted([(1, "pwd: [secret]", "r", 7, 7, 13)] * 2 + [rows[2]], key=str)
+    assert secrets.redacted(docs).schema == docs.schema
