@@ -229,3 +229,20 @@ def test_series_mean(spark):
     df = spark.createDataFrame([("one", v) for v in values], "series string, value double")
     row = runs.series_mean(df, "series", "value").first()
     assert row.n == 12 and abs(row["mean"] - 6.0015) < 1e-3 and row.index_mean == 5.5
+
+
+@pytest.mark.parametrize("files", [0, 1, 3])
+def test_a_table_streams_from_one_file_and_from_a_folder(spark, tmp_path, files):
+    from pathlib import Path
+
+    from tokenloom.plans.scans import scan_web_stream
+
+    rows = [(i, f"text {i}") for i in range(9)] if files else []
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    if files == 1:
+        df.coalesce(1).write.parquet(str(tmp_path / "made"))
+        (part,) = Path(tmp_path / "made").glob("*.parquet")
+        part.rename(tmp_path / "documents.parquet")
+    else:
+        df.repartition(max(files, 1)).write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted(map(tuple, scan_web_stream(spark, str(tmp_path)).collect())) == rows

@@ -65,10 +65,10 @@ def scan_dialogs(spark: SparkSession, d: str) -> DataFrame:
 
 @query("scan_web_stream", "SELECT doc_id, text FROM documents")
 def scan_web_stream(spark: SparkSession, d: str) -> DataFrame:
-    docs = readers.read_stream(spark, d, "doc_id bigint, text string", glob="documents.parquet")
+    schema = "doc_id bigint, text string"
     path = scratch_path(spark, "web")
-    jobs.append_to(docs, path, scratch_path(spark, "offsets"))
-    return spark.read.parquet(path)
+    jobs.append_to(readers.read_table_stream(spark, d, "documents", schema), path, scratch_path(spark, "offsets"))
+    return spark.read.schema(schema).parquet(path)
 
 
 @query("scan_labelled_csv", f"WITH {I.LEXICON} SELECT texte, classe, pos_tag FROM lex")

@@ -25,17 +25,23 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None, glob: str | None = None
+    spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Lazy scan of a growing parquet folder."""
+    """Lazy scan of a growing parquet folder, or of one file that is named by a pattern."""
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(path)
 
 
+def read_table_stream(spark: SparkSession, folder: str, name: str, schema: str) -> DataFrame:
+    """Lazy scan of a table, be it one file or a folder of files.
+
+    A stream takes a plain path for a folder; a pattern, even one that only this name fits, may be either.
+    """
+    return read_stream(spark, f"{folder}/{name}.parque[t]", schema)
+
+
 def read_dialogs(spark: SparkSession, path: str) -> DataFrame:
     """``(prompt, response)``; a column that the file lacks reads as empty text."""
     df = spark.read.parquet(path)
