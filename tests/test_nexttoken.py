@@ -176,3 +176,23 @@ def test_split_join_keeps_or_drops_what_the_table_lacks(spark):
         assert sorted((r.i, r.k, r.v or "") for r in left) == sorted((r.i, r.k, {0: "a", 3: "b"}.get(r.k, "")) for r in rows.collect())
         anti = spread_join(rows, table.select("k"), ["k"], "left_anti", hot).collect()
         assert sorted(r.i for r in anti) == sorted(r.i for r in rows.collect() if r.k not in (0, 3))
+
+
+def test_batch_losses_equal_means_of_batches(spark):
+    df = spark.createDataFrame(list(enumerate(stream(333))), "gpos bigint, id bigint")
+    chunked = windows.chunks(df, 4, 50).cache()
+    for size in (2, 5):
+        losses = nexttoken.example_losses(windows.shuffle_batches(windows.examples(chunked, 4), size, 1))
+        sized = windows.batch_sizes(chunked, 4, size, 1, keep=1)
+        for groups in ((), ("chunk_id",)):
+            want = nexttoken.batch_mean_loss(losses, *groups).collect()
+            got = nexttoken.batch_losses(sized, *groups).collect()
+            name = lambda r: tuple(r[g] for g in groups)
+            assert sorted((name(r), r.batches, round(r.mean_loss, 9)) for r in got) == sorted((name(r), r.batches, round(r.mean_loss, 9)) for r in want)
+    none = nexttoken.batch_losses(sized.limit(0)).first()
+    assert (none.batches, none.mean_loss) == (0, 0.0)
+
+
+def test_the_most_frequent_target_is_the_last_resort(spark):
+    rows = made(spark, stream())
+    assert nexttoken.most_frequent(rows).collect() == nexttoken.last_resort(nexttoken.ngram_counts(rows)).collect()

@@ -147,3 +147,18 @@ def test_decode_keeps_inner_spaces(spark):
 def test_last_entry_of_an_id_wins(spark):
     entries = spark.createDataFrame([(1, "old", 0), (1, "new", 1)], "id bigint, token string, at bigint")
     assert encoding.last_wins(entries, "at").first().token == "new"
+
+
+def test_tokens_are_counted_by_hash_and_placed_before_they_are_shuffled(spark):
+    df = docs(spark, ["a b a", "", "b c"])
+    starts = vocabulary.stream_starts(df).checkpoint()
+    placed = vocabulary.placed_tokens(df, starts)
+    assert sorted((r.gpos, r.token) for r in placed.collect()) == list(enumerate("a b a b c".split()))
+    seen = vocabulary.first_seen(placed)
+    assert sorted(map(tuple, seen.collect())) == [("a", 0, 2), ("b", 1, 2), ("c", 4, 1)]
+    assert "SortAggregate" not in seen._jdf.queryExecution().executedPlan().toString()
+    vocab = vocabulary.build(df, starts=starts).checkpoint()
+    assert "Generate" not in vocabulary.build(df, starts=starts)._jdf.queryExecution().analyzed().toString()
+    plan = encoding.encode_stream(df, vocab, starts=starts).select("gpos", "id")._jdf.queryExecution().optimizedPlan().toString()
+    join = plan.index("Join Inner, (token")
+    assert "start" not in plan[:join]

@@ -66,3 +66,31 @@ def test_progress_is_cumulative(spark):
     first = spark.createDataFrame([(0,), (3,), (21,)], "gpos bigint")
     rows = windows.progress(ids, first, 10).orderBy("block").collect()
     assert [tuple(r) for r in rows] == [(0, 10, 2, 0.2), (1, 20, 2, 0.0), (2, 25, 3, 0.2)]
+
+
+def test_chunks_keep_nulls_and_refuse_ids_they_cannot_hold(spark):
+    ids = [5, None, 0, 2**40, None, 7]
+    df = spark.createDataFrame(list(enumerate(ids)), "gpos bigint, id bigint")
+    assert [r.ids for r in windows.chunks(df, 1, 10).collect()] == [ids]
+    for bad in (-1, 2**62):
+        with pytest.raises(Exception, match="id outside of"):
+            windows.chunks(df.union(spark.createDataFrame([(6, bad)], df.schema)), 1, 10).collect()
+
+
+@pytest.mark.parametrize("n, size", [(46, 3), (45, 2), (4, 5), (60, 7)])
+def test_batches_inside_chunks_equal_those_of_a_shuffle(spark, n, size):
+    df = spark.createDataFrame([(i, i * 7 % 31) for i in range(n)], "gpos bigint, id bigint")
+    made = windows.chunks(df, 3, 20)
+    want = windows.shuffle_batches(windows.examples(made, 3), size, 9).collect()
+    got = windows.shuffled_examples(made, 3, size, 9)
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+    key = lambda r: (r.chunk_id, r.batch_id, r.target_pos, r.context, r.target)
+    assert sorted(map(key, got.collect())) == sorted(map(key, want))
+    members = {}
+    for r in want:
+        members[r.chunk_id, r.batch_id] = members.get((r.chunk_id, r.batch_id), 0) + 1
+    place = {r.target_pos: (r.chunk_id, r.batch_id) for r in want}
+    assert all(r.batch_size == members[place[r.target_pos]] for r in got.collect())
+    sized = windows.batch_sizes(made, 3, size, 9).collect()
+    assert len(sized) == len(want)
+    assert all((r.batch_size, r.chunk_id) == (members[place[r.target_pos]], place[r.target_pos][0]) for r in sized)

@@ -230,8 +230,9 @@ SELECT (SELECT count(*) FROM voc) AS vocab_size, {I.EMB_DIM}::BIGINT AS emb_dim,
 )
 def run_metadata(spark: SparkSession, d: str) -> DataFrame:
     docs = I.documents(spark, d)
-    vocab = I.vocab_of(docs)
-    stats = windows.chunk_stats(I.stream_of(docs, vocab), I.CONTEXT, I.CHUNK, I.BATCH)
+    starts = I.starts_of(docs)
+    vocab = I.vocab_of(docs, starts=starts)
+    stats = windows.chunk_stats(vocabulary.placed_tokens(docs, starts), I.CONTEXT, I.CHUNK, I.BATCH)
     return runs.run_metadata(stats, vocab, I.CONTEXT, I.EMB_DIM, I.HIDDEN_DIM, 1)
 
 
@@ -255,7 +256,7 @@ def check_metadata(spark: SparkSession, d: str) -> DataFrame:
     """The saved table lacks one key, which counts as a difference."""
 
     def sizes(docs: DataFrame, *more: str) -> DataFrame:
-        seen = vocabulary.first_seen(vocabulary.tokenize(docs))
+        seen = vocabulary.tokenize(docs).groupBy("token").agg(F.count("*").alias("n"))
         meta = seen.agg(F.count("*").alias("vocab_size"), F.sum("n").alias("seen_tokens"))
         meta = meta.withColumn("context_size", F.lit(I.CONTEXT)).withColumn("emb_dim", F.lit(I.EMB_DIM))
         return runs.key_values(meta, ("vocab_size", "seen_tokens", "context_size", *more))
