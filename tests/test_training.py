@@ -143,3 +143,26 @@ def test_a_correction_changes_what_the_model_says(spark):
     assert before == {"mot1": "nom", "neuf": "nom", "mot2": "nom"}
     assert now == {"mot1": "verbe", "neuf": "verbe", "mot2": "nom"}
     assert rows.count() == 17 and rows.filter("texte = 'mot1'").select("classe").distinct().count() == 2
+
+
+def test_tfidf_stores_and_joins_common_terms_only(spark, monkeypatch):
+    from math import log, sqrt
+
+    from tokenloom.operators import weights
+
+    texts = ["aa bb aa", "bb cc", "", None, "dd"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    stored = []
+    keep = weights.materialize
+    monkeypatch.setattr(weights, "materialize", lambda t: stored.append(keep(t)) or stored[-1])
+    got = {(r.doc_id, r.term): r.weight for r in weights.tfidf(df, "doc_id", 1, 1).collect()}
+    assert [r.term for (t,) in [stored] for r in t.collect()] == ["bb"]
+    uses = {"aa": 1, "bb": 2, "cc": 1, "dd": 1}
+    idf = {t: log((1 + len(texts)) / (1 + n)) + 1 for t, n in uses.items()}
+    want = {}
+    for i, text in enumerate(texts):
+        words = (text or "").split()
+        raw = {w: words.count(w) * idf[w] for w in words}
+        norm = sqrt(sum(v * v for v in raw.values()))
+        want.update({(i, w): v / norm for w, v in raw.items()})
+    assert got.keys() == want.keys() and all(abs(got[k] - v) < 1e-12 for k, v in want.items())
