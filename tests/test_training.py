@@ -166,3 +166,15 @@ def test_tfidf_stores_and_joins_common_terms_only(spark, monkeypatch):
         norm = sqrt(sum(v * v for v in raw.values()))
         want.update({(i, w): v / norm for w, v in raw.items()})
     assert got.keys() == want.keys() and all(abs(got[k] - v) < 1e-12 for k, v in want.items())
+
+
+def test_blocks_hold_equal_columns_once_and_estimates_stay_small(spark, monkeypatch):
+    made = []
+    start = classify.BlockProblem.__init__
+    monkeypatch.setattr(classify.BlockProblem, "__init__", lambda self, *a: made.append(self) or start(self, *a))
+    rows = [("un deux trois", "a"), ("un quatre cinq", "b"), ("six sept", "a"), (None, "b")]
+    model = classify.fit(spark.createDataFrame(rows, "text string, classe string"), tolerance=1e-2, array_entries=0, part_entries=2)
+    (problem,) = made
+    assert problem.columns.count() == 4 and model.table.count() == 14
+    size = problem.docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert len(str(size)) < 20
