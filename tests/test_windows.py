@@ -94,3 +94,23 @@ def test_batches_inside_chunks_equal_those_of_a_shuffle(spark, n, size):
     sized = windows.batch_sizes(made, 3, size, 9).collect()
     assert len(sized) == len(want)
     assert all((r.batch_size, r.chunk_id) == (members[place[r.target_pos]], place[r.target_pos][0]) for r in sized)
+
+
+def test_spans_give_chunks_without_token_rows(spark):
+    from tokenloom.operators import vocabulary
+
+    texts = ["a b c", "", None, "d " * 23, "e", "f g"]
+    docs = spark.createDataFrame([(i * 7 - 3, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    spans = vocabulary.stream_spans(docs)
+    tokens = vocabulary.placed_tokens(docs, vocabulary.stream_starts(docs))
+    places = vocabulary.positions(spans)
+    assert sorted(map(tuple, places.collect())) == sorted(map(tuple, tokens.select("doc_id", "gpos").collect()))
+    assert "token" not in places._jdf.queryExecution().optimizedPlan().toString()
+    for context, chunk in ((2, 5), (1, 2), (3, 100), (1, 9)):
+        want = {}
+        for (at,) in tokens.select("gpos").collect():
+            for k in range(1, at + 2):
+                if (k - 1) * (chunk - context) <= at < (k - 1) * (chunk - context) + chunk:
+                    want.setdefault(k, []).append(at)
+        want = sorted((k, len(v) - context, -(-(len(v) - context) // 4), max(v) + 1) for k, v in want.items() if len(v) > context)
+        assert sorted(map(tuple, windows.span_stats(spans, context, chunk, 4).collect())) == want

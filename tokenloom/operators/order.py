@@ -94,9 +94,9 @@ def byte_budget(df: DataFrame, key: str, size: str, limit: int, bits: int = BITS
 
 
 def token_starts(docs: DataFrame, key: str, tokens: str, bits: int = BITS) -> DataFrame:
-    """``(key, start)``: the stream position at which each document begins.
+    """``(key, start, n)``: the stream position at which each document begins, and its tokens.
 
     Only two narrow columns are shuffled, never the texts.
     """
     sizes = docs.select(key, F.size(tokens).cast("bigint").alias("_n"))
-    return exclusive_sum(sizes, key, "_n", "start", bits).select(key, "start")
+    return exclusive_sum(sizes, key, "_n", "start", bits).select(key, "start", F.col("_n").alias("n"))

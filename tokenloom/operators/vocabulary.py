@@ -23,9 +23,24 @@ def tokenize(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 def stream_starts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, start)`` of each text in the whole token stream."""
+    return stream_spans(docs, key, text).select("doc_id", "start")
+
+
+def stream_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(doc_id, start, n)``: where each text begins in the whole token stream, and how many tokens it has."""
     return token_starts(docs.select(F.col(key).alias("doc_id"), split_ws(text).alias("_t")), "doc_id", "_t")
 
 
+def positions(spans: DataFrame) -> DataFrame:
+    """``(doc_id, gpos)``: a row per token, from the ``spans`` of the texts alone; no text is read or shuffled.
+
+    Spans come out of few tasks, as they are small, and are dealt out before they grow.
+    """
+    parts = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.col("start") + F.col("n") - 1
+    return spans.repartition(parts, "doc_id").filter("n > 0").select("doc_id", F.explode(F.sequence("start", last)).alias("gpos"))
+
+
 def placed_tokens(docs: DataFrame, starts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, start, pos, gpos, token)`` of texts whose ``starts`` are known.
 

@@ -119,11 +119,23 @@ def shuffle_batches(rows: DataFrame, size: int, seed: int) -> DataFrame:
 
 
 def chunk_stats(ids: DataFrame, context: int, chunk: int, batch: int) -> DataFrame:
-    """Examples, batches and tokens read at the end of each chunk. Counts only, no arrays."""
+    """Examples, batches and tokens read at the end of each chunk, from the ``gpos`` of tokens. Counts only, no arrays."""
+    return span_stats(ids.select(F.col("gpos").alias("start"), F.lit(1).cast("bigint").alias("n")), context, chunk, batch)
+
+
+def span_stats(spans: DataFrame, context: int, chunk: int, batch: int) -> DataFrame:
+    """:func:`chunk_stats` from ``(start, n)`` of each text: a row per text and chunk, none per token."""
+    if chunk <= context:
+        raise ValueError("chunk must be larger than context")
+    step = chunk - context
+    end = F.col("start") + F.col("n")
+    low = F.greatest(F.lit(1), F.floor((F.col("start") - chunk) / step) + 2)
+    met = spans.filter("n > 0").withColumn("chunk_id", F.explode(F.sequence(low, F.floor((end - 1) / step) + 1)))
+    first = (F.col("chunk_id") - 1) * step
+    stop = F.least(end, first + chunk)
     sizes = (
-        chunk_assign(ids.select("gpos"), context, chunk)
-        .groupBy("chunk_id")
-        .agg(F.count("*").alias("n"), (F.max("gpos") + 1).alias("seen_tokens"))
+        met.groupBy("chunk_id")
+        .agg(F.sum(stop - F.greatest(F.col("start"), first)).alias("n"), F.max(stop).alias("seen_tokens"))
         .filter(F.col("n") > context)
     )
     made = F.col("n") - context

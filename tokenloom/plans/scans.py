@@ -230,9 +230,9 @@ SELECT (SELECT count(*) FROM voc) AS vocab_size, {I.EMB_DIM}::BIGINT AS emb_dim,
 )
 def run_metadata(spark: SparkSession, d: str) -> DataFrame:
     docs = I.documents(spark, d)
-    starts = I.starts_of(docs)
-    vocab = I.vocab_of(docs, starts=starts)
-    stats = windows.chunk_stats(vocabulary.placed_tokens(docs, starts), I.CONTEXT, I.CHUNK, I.BATCH)
+    # Only the size of the vocabulary is asked for, so nothing is numbered.
+    vocab = vocabulary.tokenize(docs).select("token").distinct()
+    stats = windows.span_stats(vocabulary.stream_spans(docs), I.CONTEXT, I.CHUNK, I.BATCH)
     return runs.run_metadata(stats, vocab, I.CONTEXT, I.EMB_DIM, I.HIDDEN_DIM, 1)
 
 

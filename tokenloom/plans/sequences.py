@@ -21,10 +21,9 @@ def chunks(spark: SparkSession, d: str) -> DataFrame:
     return windows.chunks(I.own_stream(I.documents(spark, d)), I.CONTEXT, I.CHUNK)
 
 
-def placed(spark: SparkSession, d: str) -> DataFrame:
-    """The tokens of the documents with their places in the stream."""
-    docs = I.documents(spark, d)
-    return vocabulary.placed_tokens(docs, vocabulary.stream_starts(docs))
+def spans(spark: SparkSession, d: str) -> DataFrame:
+    """Where the documents lie in the stream."""
+    return vocabulary.stream_spans(I.documents(spark, d))
 
 
 def examples(spark: SparkSession, d: str, keep: int | None = None) -> DataFrame:
@@ -72,7 +71,7 @@ SELECT k AS chunk_id, gpos FROM tok, n,
 WHERE gpos >= (k - 1) * {STEP} AND gpos < (k - 1) * {STEP} + {I.CHUNK}""",
 )
 def chunk_assign(spark: SparkSession, d: str) -> DataFrame:
-    return windows.chunk_assign(placed(spark, d), I.CONTEXT, I.CHUNK).select("chunk_id", "gpos")
+    return windows.chunk_assign(vocabulary.positions(spans(spark, d)), I.CONTEXT, I.CHUNK).select("chunk_id", "gpos")
 
 
 @query(
@@ -106,7 +105,7 @@ def shuffle_batches(spark: SparkSession, d: str) -> DataFrame:
 SELECT chunk_id, examples, (examples + {I.BATCH - 1}) // {I.BATCH} AS batches, seen_tokens FROM stats""",
 )
 def chunk_stats(spark: SparkSession, d: str) -> DataFrame:
-    return windows.chunk_stats(placed(spark, d), I.CONTEXT, I.CHUNK, I.BATCH)
+    return windows.span_stats(spans(spark, d), I.CONTEXT, I.CHUNK, I.BATCH)
 
 
 @query(
