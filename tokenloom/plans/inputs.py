@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.text import clean_web, is_french, is_long_enough, split_phrase
 from tokenloom.operators import encoding, vocabulary
-from tokenloom.operators.order import exclusive_sum
+from tokenloom.operators.order import dense_index, exclusive_sum, token_starts
 from tokenloom.session import materialize
 from tokenloom.sources.readers import read_table, spread
 
@@ -76,26 +76,24 @@ def lexicon(spark: SparkSession, folder: str) -> DataFrame:
     """
     labels = read_table(spark, folder, "labels", "doc_id", "quality")
     docs = read_table(spark, folder, "documents", "doc_id", "text", "lang")
-    docs = spread(docs, "doc_id").join(labels, "doc_id")
-    docs = docs.withColumn("words", split_phrase("text"))
-    uses = (
-        docs.select("lang", "quality", F.explode("words").alias("texte"))
-        .groupBy("texte", "lang", "quality")
-        .agg(F.count("*").alias("n"))
+    docs = spread(docs, "doc_id").join(labels, "doc_id").withColumn("words", split_phrase("text"))
+    starts = token_starts(docs, "doc_id", "words").select("doc_id", "start")
+    placed = docs.join(starts, "doc_id").select("lang", "quality", "start", F.posexplode("words").alias("pos", "texte"))
+    # All that is asked of a word is kept per word, language and quality: its uses and its first place. Stored, as three plans read it.
+    uses = placed.groupBy("texte", "lang", "quality").agg(
+        F.count("*").alias("n"), F.min(F.col("start") + F.col("pos")).alias("gpos")
     )
+    uses = materialize(uses)
 
     def most_used(value: str, name: str) -> DataFrame:
         sums = uses.groupBy("texte", value).agg(F.sum("n").alias("n"))
         return sums.groupBy("texte").agg(F.min_by(value, F.struct(-F.col("n"), F.col(value))).alias(name))
 
-    rows = vocabulary.build(docs.select("doc_id", F.array_join("words", " ").alias("text")))
-    labelled = (
-        rows.select(F.col("id").alias("row_id"), F.col("token").alias("texte"))
-        .join(most_used("lang", "classe"), "texte")
-        .join(most_used("quality", "_q"), "texte")
-    )
+    firsts = uses.groupBy("texte").agg(F.min("gpos").alias("gpos"))
+    known = firsts.join(most_used("lang", "classe"), "texte").join(most_used("quality", "_q"), "texte")
+    rows = dense_index(materialize(known), "gpos", "row_id", key_bits=48)
     tag = F.concat(F.lit("q"), F.col("_q").cast("string")).alias("pos_tag")
-    return materialize(labelled.select("row_id", "texte", "classe", tag))
+    return materialize(rows.select("row_id", "texte", "classe", tag))
 
 
 def phrase_words(docs: DataFrame) -> DataFrame:
