@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.functions.sequences import as_text
 from tokenloom.operators import dialogs, encoding, matching, runs, vocabulary, windows
 from tokenloom.plans import inputs as I
 from tokenloom.plans.registry import query
@@ -117,8 +118,9 @@ def scan_token_lines(spark: SparkSession, d: str) -> DataFrame:
 def scan_ids(spark: SparkSession, d: str) -> DataFrame:
     """An ID file without line ends, and where in which batch each id lies."""
     path = scratch_path(spark, "ids")
-    docs = I.documents(spark, d)
-    sinks.write_words(I.own_stream(docs), path, "id", "gpos")
+    # The ids of a text are written with blanks between them, as each would be alone; only texts are put in order.
+    texts, _ = I.own_texts(I.documents(spark, d))
+    sinks.write_words(texts.select("gpos", as_text("ids").alias("ids")), path, "ids", "gpos")
     ids = readers.read_id_stream(spark, path, 10_000)
     return ids.select(F.floor(F.col("gpos") / ID_BATCH).alias("line"), (F.col("gpos") % ID_BATCH).alias("pos"), "id")
 
@@ -158,9 +160,8 @@ FROM ids GROUP BY 1""",
 )
 def sink_ids(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "ids")
-    docs = I.documents(spark, d)
-    stream = I.own_stream(docs)
-    sinks.write_lines(encoding.id_lines(stream, ID_BATCH), path, "ids", "line")
+    texts, _ = I.own_texts(I.documents(spark, d))
+    sinks.write_lines(encoding.id_lines_of(texts, ID_BATCH), path, "ids", "line")
     return readers.read_lines(spark, path)
 
 
