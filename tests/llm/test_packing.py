@@ -1,5 +1,7 @@
 """Packing: exact ids, gapless sequences, first fit."""
 
+import gc
+import weakref
 import zlib
 
 import numpy as np
@@ -22,6 +24,19 @@ def test_ids_equal_the_tokenizer():
         assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == want, text
 
 
+def test_an_encoder_goes_with_its_task():
+    """A reused worker doesn't hold the words of the task before until the collector comes."""
+    encoder = packing.WordEncoder(tokenizer_path())
+    encoder.encode("the cat. The dog")
+    seen = weakref.ref(encoder)
+    gc.disable()
+    try:
+        del encoder
+        assert seen() is None
+    finally:
+        gc.enable()
+
+
 def test_first_fit_decreasing():
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 1024, 500)

@@ -63,6 +63,23 @@ def test_letters_come_from_all_documents(spark):
     assert letters.get("jaź") == 5 and letters.get("^za") == 5 and letters.get("ń$x") == 0
 
 
+def test_letters_counted_in_small_parts(spark, monkeypatch):
+    """A task turns its tokens to trigrams whenever it holds some; the sums are the same."""
+    docs = spark.createDataFrame([(i, f"the heat of w{'abcdef'[i % 6] * (i % 4 + 1)} it") for i in range(60)], "doc_id long, text string")
+    whole = toxicity.letter_counts(docs)
+    monkeypatch.setattr(toxicity, "COUNT_TOKENS", 3)
+    monkeypatch.setattr(toxicity, "SLICE", 7)
+    parts = toxicity.letter_counts(docs)
+    assert parts.codes.tolist() == whole.codes.tolist() and parts.counts.tolist() == whole.counts.tolist()
+    assert parts.get("the") == 60
+
+
+def test_tokens_without_weight_share_a_value():
+    scorer = toxicity.Toxicity({"ass": 3.0}, toxicity._word_trigrams({"ass": 50, "the": 50})).scorer()
+    assert scorer.raw("the heat of it, ass 455") == 3
+    assert all(v is scorer.NOTHING for t, v in scorer.seen.items() if t not in ("ass", "455"))
+
+
 def test_accepted_keeps_clean_rows(spark, model):
     frame = spark.createDataFrame([(1, "the heat of it"), (2, "you idiot, moron, stupid clown, trash"), (3, None)], "doc_id long, text string")
     assert sorted(r.doc_id for r in toxicity.accepted(frame, model).collect()) == [1, 3]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import weakref
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -40,7 +41,8 @@ class _Words(dict):
     """Ids of words, with what stands before each; works out the missing ones and keeps so many."""
 
     def __init__(self, encoder: WordEncoder, before: str, room: int) -> None:
-        self.encoder, self.before, self.room = encoder, before, room
+        # Not a cycle: the words of a task go with its encoder, and don't wait for the collector in a reused worker.
+        self.encoder, self.before, self.room = weakref.proxy(encoder), before, room
         self.start = "".join(encoder.letters[b] for b in before.encode())
 
     def __missing__(self, word: str) -> bytes:

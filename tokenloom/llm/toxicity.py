@@ -22,6 +22,8 @@ STARTS = (4, 5, 6)  # lengths of word starts that count besides the whole word
 CAUTION = (2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0)  # standard errors that may be taken off a log-odds weight
 CALIBRATION = 3  # tenths of the sample that choose the caution and the scale of scores, and give no weights
 STRONGEST = 3  # words of a text that add to its score
+SLICE = 500  # rows whose texts a task holds as strings at a time
+COUNT_TOKENS = 50_000  # different tokens whose counts a task gathers before it turns them to trigrams
 
 # Letters that a sign may stand for.
 SIGNS = {
@@ -63,7 +65,9 @@ _LETTER = (1 << 21) - 1
 
 
 class LetterModel:
-    """Letter trigrams with add-one back-off to bigrams; costs are negative logarithms."""
+    """Letter trigrams with add-one back-off to bigrams; costs are negative logarithms, some of them kept."""
+
+    ROOM = 100_000
 
     def __init__(self, trigrams: Trigrams) -> None:
         self.three = trigrams
@@ -82,7 +86,8 @@ class LetterModel:
             lone = (self.one[c] + 0.1) / (self.total + 10)
             pair = (self.pairs[b << 21 | c] + 2 * lone) / (self.middle[b] + 2)
             found = -math.log((self.three.get(gram) + 2 * pair) / (self.two[a << 21 | b] + 2))
-            self.known[gram] = found
+            if len(self.known) < self.ROOM:
+                self.known[gram] = found
         return found
 
 
@@ -167,9 +172,10 @@ class Toxicity:
 
 
 class Scorer:
-    """Scores texts in one task; keeps the weights of tokens seen before."""
+    """Scores texts in one task; keeps the weights of tokens seen before, about 150 bytes each."""
 
-    ROOM = 300_000
+    ROOM = 150_000
+    NOTHING = (0.0, "")  # one value for all tokens without a weight
 
     def __init__(self, model: Toxicity, letters: LetterModel | None = None) -> None:
         self.model, self.letters, self.seen = model, letters or LetterModel(model.trigrams), {}
@@ -182,6 +188,8 @@ class Scorer:
             if len(self.model.trigrams):
                 words += [restore(d, self.letters) for d in disguises(token)]
             found = max((self.model.weights.get(f, 0.0), w) for w in words for f in features(w))
+            if found[0] <= 0:
+                found = self.NOTHING
             if len(self.seen) < self.ROOM:
                 self.seen[token] = found
         return found
@@ -228,6 +236,13 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, x))))
 
 
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, at most ``SLICE`` at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def _counts(docs: DataFrame) -> DataFrame:
     """``item, pos, neg``: in how many toxic and other texts a feature stands."""
 
@@ -283,10 +298,10 @@ def letter_counts(docs: DataFrame) -> Trigrams:
             grams = _word_trigrams(words) if words else Trigrams()
             return pa.RecordBatch.from_arrays([pa.array(grams.codes), pa.array(grams.counts)], names=["code", "n"])
 
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
+        for part in _slices(batches):
+            for text in part.column(0).to_pylist():
                 tokens.update(set((text or "").lower().split()))
-                if len(tokens) > Scorer.ROOM:
+                if len(tokens) > COUNT_TOKENS:
                     yield summed()
         yield summed()
 
@@ -352,10 +367,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Toxicity:
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = LetterModel(trigrams)
-        scorers = [Scorer(m, letters) for m in models]
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            for number, scorer in enumerate(scorers):
+            for number, m in enumerate(models):
+                scorer = Scorer(m, letters)  # one at a time keeps tokens
                 raw = pa.array([scorer.raw(t) for t in texts], pa.float64())
                 which = pa.array([number] * len(texts), pa.int32())
                 yield pa.RecordBatch.from_arrays([which, raw, batch.column(1).cast(pa.int64())], names=["model", "raw", "toxic"])
@@ -382,9 +397,9 @@ def score(docs: DataFrame, model: Toxicity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
-        for batch in batches:
-            values = [scorer.score(t) for t in batch.column(1).to_pylist()]
-            columns = [batch.column(0), pa.array(values, pa.float64()), pa.array([int(v >= 0.5) for v in values], pa.int32())]
+        for part in _slices(batches):
+            values = [scorer.score(t) for t in part.column(1).to_pylist()]
+            columns = [part.column(0), pa.array(values, pa.float64()), pa.array([int(v >= 0.5) for v in values], pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "predicted"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, score double, predicted int")
@@ -396,8 +411,8 @@ def accepted(docs: DataFrame, model: Toxicity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.scorer()
-        for batch in batches:
-            keep = pa.array([scorer.score(t) < 0.5 for t in batch.column(at).to_pylist()], pa.bool_())
-            yield batch.filter(keep)
+        for part in _slices(batches):
+            keep = pa.array([scorer.score(t) < 0.5 for t in part.column(at).to_pylist()], pa.bool_())
+            yield part.filter(keep)
 
     return docs.mapInArrow(run, docs.schema)
