@@ -80,6 +80,11 @@ def test_tokens_without_weight_share_a_value():
     assert all(v is scorer.NOTHING for t, v in scorer.seen.items() if t not in ("ass", "455"))
 
 
+def test_disguises_tries_all_marks_once():
+    assert toxicity.disguises("word.") == [] and toxicity.disguises("(the)") == ["(the"]
+    assert toxicity.disguises("(!d!0t!!") == ["d!0t", "d!0t!!", "!d!0t", "!d!0t!!", "(!d!0t", "(!d!0t!!"]
+
+
 def test_accepted_keeps_clean_rows(spark, model):
     frame = spark.createDataFrame([(1, "the heat of it"), (2, "you idiot, moron, stupid clown, trash"), (3, None)], "doc_id long, text string")
     assert sorted(r.doc_id for r in toxicity.accepted(frame, model).collect()) == [1, 3]

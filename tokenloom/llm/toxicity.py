@@ -144,12 +144,11 @@ def disguises(token: str) -> list[str]:
     if token.isalpha():
         return [token] if _RUN.search(token) else []
     found: dict[str, None] = {}
-    for left in _MARKS:
-        for right in _MARKS:
-            word = token.lstrip(left).rstrip(right)
-            for part in (word, _TAIL.sub("", word)):
-                if _RUN.search(part) if part.isalpha() else _hides(part):
-                    found[part] = None
+    # Most tokens are the same word whichever marks go.
+    for word in dict.fromkeys(token.lstrip(left).rstrip(right) for left in _MARKS for right in _MARKS):
+        for part in (word, _TAIL.sub("", word)):
+            if _RUN.search(part) if part.isalpha() else _hides(part):
+                found[part] = None
     return list(found)
 
 
@@ -222,7 +221,11 @@ class Scorer:
         if not text:
             return 0.0
         low = text.lower()
-        found = [self.weigh(token) for token in set(low.split())]
+        found = []
+        for token in set(low.split()):
+            hit = self.seen.get(token) or self.weigh(token)
+            if hit is not self.NOTHING:
+                found.append(hit)
         for run in {m[0] for m in _SPACED.finditer(low)}:
             found += self.spelled(run)
         best: dict[str, float] = {}
