@@ -1,3 +1,7 @@
+import gc
+from collections import defaultdict
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,3 +87,28 @@ def test_splits_meet_their_offsets_by_broadcast(spark, tmp_path):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan
     assert [tuple(r) for r in rows.orderBy("gpos").collect()] == list(enumerate(["1", "2", "3", "4", "é", "5", "6"]))
+
+
+def test_few_blocks_share_a_file(spark):
+    """A reader or writer of parquet holds many rows of a file at once, and a block is megabytes."""
+    docs = spark.createDataFrame([(i, "a b c d") for i in range(40)], "doc_id bigint, text string").coalesce(1)
+    files = blocks.word_blocks(docs, tokens=4).groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in files) == 40 and max(r["count"] for r in files) <= 8
+
+
+def test_words_of_a_block_go_with_it(spark, monkeypatch):
+    """A table of words in a cycle would stay until Python looks for cycles, and so a worker would grow with its blocks."""
+    docs, found = spark.createDataFrame([(0, "")], "doc_id bigint, text string"), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: found.append(f) or self)
+    blocks.word_blocks(docs)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60, 0, -1)), "text": [f"a b{i} c{i}" for i in range(60)]})
+    tables = lambda: sum(type(o) is defaultdict for o in gc.get_objects())
+    blocks.word_blocks(docs, tokens=10)
+    gc.collect()
+    before = tables()
+    gc.disable()
+    try:
+        made = [b.num_rows for b in found[-1](iter([batch]))]
+        assert len(made) == 18 and tables() <= before
+    finally:
+        gc.enable()

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from tokenloom.operators.order import dense_index, exclusive_sum
 from tokenloom.session import materialize, scratch_path
 
 TOKENS = 1 << 18
+# Blocks of one file. A block is some 3 MB, and Spark's reader and writer of parquet hold up to 4096 and 100 rows of a file at once.
+FILE_BLOCKS = 8
 SCHEMA = (
     "docs array<bigint>, ats array<bigint>, sizes array<int>, totals array<bigint>, codes array<int>, "
     "tokens array<string>, pieces array<int>, insides array<int>, counts array<int>"
@@ -26,6 +30,11 @@ _TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.string(
 _NAMES = [f.split()[0] for f in SCHEMA.split(", ")]
 
 
+def _numbered() -> defaultdict[str, int]:
+    """Numbers new words 0, 1, 2, ... It doesn't refer to itself: a worker would keep the words of all its blocks until Python looks for cycles."""
+    return defaultdict(count().__next__)
+
+
 def _row(rows: list[tuple[int, int, int, int]], known: dict[str, int], codes: list[int]) -> pa.RecordBatch:
     docs, ats, sizes, totals = zip(*rows)
     coded, ends = np.array(codes, dtype=np.int32), np.cumsum(sizes)
@@ -48,11 +57,11 @@ def word_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.sort_by("doc_id")
-            rows, known, codes = [], defaultdict(), []
-            known.default_factory = known.__len__
+            order = pc.sort_indices(batch.column(0))
+            rows, known, codes = [], _numbered(), []
             for begin in range(0, batch.num_rows, 500):
-                part = batch.slice(begin, 500)
+                # Texts are put in order some at a time, so a batch is never held twice.
+                part = batch.take(order.slice(begin, 500))
                 for doc, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     # Parts words where str.isspace holds, as text.SPACE does.
                     words, at = (value or "").split(), 0
@@ -63,8 +72,7 @@ def word_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens
                         at += len(taken)
                         if len(codes) >= tokens:
                             yield _row(rows, known, codes)
-                            rows, known, codes = [], defaultdict(), []
-                            known.default_factory = known.__len__
+                            rows, known, codes = [], _numbered(), []
                         if at >= len(words):
                             break
             if rows:
@@ -73,7 +81,7 @@ def word_blocks(docs: DataFrame, key: str = "doc_id", text: str = "text", tokens
     made = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, SCHEMA)
     made = made.withColumn("block", F.monotonically_increasing_id())
     path = scratch_path(docs.sparkSession, "blocks")
-    made.write.parquet(path)
+    made.write.option("maxRecordsPerFile", FILE_BLOCKS).parquet(path)
     return docs.sparkSession.read.schema(made.schema).parquet(path)
 
 
